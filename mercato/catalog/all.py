@@ -1,6 +1,6 @@
 """Import every module that registers queries."""
 
-from mercato.catalog import gold_queries  # noqa: F401
+from mercato.catalog import behaviour_queries, gold_queries, merge_queries  # noqa: F401
 from mercato.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
