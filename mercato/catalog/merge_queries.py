@@ -168,12 +168,9 @@ def merge_payments(s: Store):
     return two_loads("payments", first, load(pays, SECOND_LOAD, F.lit("12,50"), F.col("status")))
 
 
-_ITEM_DOC = ("""'{"order_item_id":"oi-' || l_orderkey || '-' || l_linenumber || '","order_id":"' || l_orderkey """
-             """|| '","product_id":"' || l_partkey || '","quantity":"' || CAST(l_quantity AS BIGINT) """
-             """|| '","unit_price":"' || l_tax || '","total_price":"' || l_extendedprice || '","discount":"' """
-             """|| l_discount || '"}'""")
-_ITEM_PICK = (f"row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, "
-              f"'supplier/' || l_suppkey DESC, {_ITEM_DOC} DESC)")
+_ITEM_PICK = """row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC,
+    'supplier/' || l_suppkey DESC, CAST(l_partkey AS VARCHAR) DESC, l_quantity DESC, l_tax DESC,
+    l_extendedprice DESC, l_discount DESC)"""
 
 
 def _item_rows(s: Store, df: DataFrame) -> DataFrame:

@@ -21,39 +21,51 @@ def _object(text: Column, fields: Iterable[str], kind: str) -> Column:
     return F.from_json(wrapped, f"r struct<{shape}>", _OPTIONS)["r"]
 
 
-def parse_object(df: DataFrame, json_column: str, fields: Iterable[str], into: str) -> DataFrame:
-    """Add ``into``, a struct of the fields' texts; NULL where the text is no JSON object.
-
-    A generator holds the parse so that later filters cannot copy it below.
+def parse_object(df: DataFrame, json_column: str, fields: Iterable[str], into: str,
+                 look_closer: Column | None = None) -> DataFrame:
+    """Add ``into``, the fields' texts; NULL where the text is no JSON object.
+
+    Texts do not tell a nested value from a string, or 0 from "0". For the rows
+    where that can matter (``look_closer``; default: those with a bracket inside)
+    ``into`` + "_kinds" holds the fields as typed values, else it is NULL.
+    Generators hold the parses so that later filters cannot copy them below.
     """
-    parsed = F.array(_object(F.col(json_column), list(fields), "string"))
-    return df.select("*", F.explode_outer(parsed).alias(into))
+    fields = list(fields)
+    text = F.col(json_column)
+    parsed = df.select("*", F.explode_outer(F.array(_object(text, fields, "string"))).alias(into))
+    if look_closer is None:
+        inner = F.substring(F.ltrim(text), 2, 2_147_483_647)
+        look_closer = F.contains(inner, F.lit("{")) | F.contains(inner, F.lit("["))
+    typed = F.when(look_closer, _object(text, fields, "variant"))
+    return parsed.select("*", F.explode_outer(F.array(typed)).alias(f"{into}_kinds"))
 
 
-def _variant_kind(json_column: str, field: str) -> Column:
-    return F.schema_of_variant(_object(F.col(json_column), [field], "variant")[field])
+def scalar(parsed: str, field: str) -> Column:
+    """Text of a scalar field; NULL if absent, JSON null, an object or an array."""
+    kinds = F.col(f"{parsed}_kinds")
+    nested = F.schema_of_variant(kinds[field]).rlike("^(OBJECT|ARRAY)")
+    return F.when(kinds.isNull(), F.col(parsed)[field]).when(~nested, F.col(parsed)[field])
 
 
-def scalar(json_column: str, parsed: str, field: str) -> Column:
-    """Text of a scalar field; NULL if absent, JSON null, an object or an array.
+# Texts that a value counting as false may have.
+_MAYBE_FALSY = r'"\s*:\s*(-?0|false|\[|\{)'
 
-    The parse renders nested values as JSON text. Only a text that starts like
-    one is looked at again, so an ordinary row pays for no second parse.
-    """
-    text = F.col(parsed)[field]
-    nested = F.substring(text, 1, 1).isin("{", "[")
-    return F.when(~nested, text).when(_variant_kind(json_column, field) == "STRING", text)
 
+def maybe_falsy(text: Column) -> Column:
+    """Whether the document has any value that could count as false without being empty."""
+    return text.rlike(_MAYBE_FALSY)
 
-# Texts a value that Python counts as false may have.
-_MAYBE_FALSY = r"^(-?0(\.0+)?([eE][+-]?\d+)?|false|\[\s*\]|\{\s*\})$"
 
+def truthy(parsed: str, field: str) -> Column:
+    """False for missing, null, "", 0, false, [] and {}; the strings "0" and "false" are true.
 
-def truthy(json_column: str, parsed: str, field: str) -> Column:
-    """False for missing, null, "", 0, false, [] and {}; the strings "0" and "false" are true."""
-    text = F.col(parsed)[field]
+    Needs a parse that looked closer at the ``maybe_falsy`` documents.
+    """
+    text, kinds = F.col(parsed)[field], F.col(f"{parsed}_kinds")
+    kind = F.schema_of_variant(kinds[field])
+    empty = text.rlike(r"^(-?0(\.0*)?([eE][+-]?\d+)?|false|\[\s*\]|\{\s*\})$")
     return (
         F.when(text.isNull() | (text == ""), F.lit(False))
-        .when(~text.rlike(_MAYBE_FALSY), F.lit(True))
-        .otherwise(F.coalesce(_variant_kind(json_column, field) == "STRING", F.lit(False)))
+        .when(kinds.isNull() | ~empty, F.lit(True))
+        .otherwise(F.coalesce(kind == "STRING", F.lit(False)))
     )

@@ -27,11 +27,11 @@ def parse_bronze(bronze: DataFrame, spec: EntitySpec, now: Column | datetime | s
     fields = [f for _, f, _ in spec.fields]
     parsed = parse_object(bronze, spec.json_column, fields, "_doc")
     columns = [F.col(c) for c in spec.carried]
-    columns += [cast_text(scalar(spec.json_column, "_doc", field), kind, strict).alias(name)
+    columns += [cast_text(scalar("_doc", field), kind, strict).alias(name)
                 for name, field, kind in spec.fields]
     columns.append(instant(now).alias("processed_at"))
     if lineage:
-        columns += [F.col(c).alias(f"_{c}") for c in LINEAGE] + [F.col(spec.json_column).alias("_raw")]
+        columns += [F.col(c).alias(f"_{c}") for c in LINEAGE]
     return parsed.select(*columns)
 
 
@@ -71,10 +71,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def one_per_key(df: DataFrame, spec: EntitySpec, on_duplicate: str = "latest") -> DataFrame:
-    """Settle repeated keys of a batch that carries its lineage columns."""
-    lineage = [f"_{c}" for c in LINEAGE] + ["_raw"]
+    """Settle repeated keys of a batch that carries its lineage columns.
+
+    The latest by arrival time wins, then by source, then by the values themselves,
+    so the outcome does not depend on row order.
+    """
+    lineage = [f"_{c}" for c in LINEAGE]
     if on_duplicate == "latest":
-        newest = [F.col(c).desc_nulls_last() for c in lineage]
+        values = [c for c in spec.columns if c not in spec.keys]
+        newest = [F.col(c).desc_nulls_last() for c in (*lineage, *values)]
         df = latest_per_key(df, spec.keys, newest)
     elif on_duplicate == "error":
         found = duplicate_keys(df, spec.keys).limit(1).collect()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.functions.instants import instant
-from mercato.functions.json_fields import parse_object, truthy
+from mercato.functions.json_fields import maybe_falsy, parse_object, truthy
 
 STREAM_SOURCE = "streaming/pubsub"
 RAW_LIMIT = 10_000  # fixed value: characters of a bad message that are kept
@@ -37,8 +37,8 @@ def check_events(messages: DataFrame, value: str = "value", source: str = STREAM
         F.try_validate_utf8(as_text).alias("_text"),
         F.substring(F.make_valid_utf8(as_text), 1, RAW_LIMIT).alias("raw_message"),
     )
-    parsed = parse_object(text, "_text", ["event_id", "event_type"], "_doc")
-    both = truthy("_text", "_doc", "event_id") & truthy("_text", "_doc", "event_type")
+    parsed = parse_object(text, "_text", ["event_id", "event_type"], "_doc", maybe_falsy(F.col("_text")))
+    both = truthy("_doc", "event_id") & truthy("_doc", "event_type")
     error = F.when(F.col("_doc").isNull(), "invalid_json").when(~both, "missing_required_fields")
     shown = [F.coalesce(F.col(f"_doc.{f}"), F.lit("None")) for f in ("event_id", "event_type")]
     detail = F.when(F.col("_doc").isNull(), F.lit("not one JSON object in valid UTF-8")).otherwise(
