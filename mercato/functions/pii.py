@@ -14,7 +14,7 @@ PATTERNS = {
     "IP_ADDRESS": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
 }
 # A cheap test that spares most texts the pattern.
-_HINTS = {"EMAIL_ADDRESS": "@", "IP_ADDRESS": "."}
+_HINTS = {"EMAIL_ADDRESS": "@"}
 CONTEXT = r"(?:[Ee]-?mail|[Mm]ail|[Tt]el|[Pp]hone|[Cc]all|[Cc]ard|[Ii][Pp])[:. ]{1,3}"
 LIKELIHOODS = ("POSSIBLE", "LIKELY", "VERY_LIKELY")
 
@@ -126,9 +126,11 @@ def protect_text(text: Column, info_type: str) -> Column:
     pieces = F.split(text, PATTERNS[info_type], -1)
     shown = F.transform(find(text, info_type), PROTECT[info_type])
     woven = F.zip_with(pieces, shown, lambda piece, hidden: F.concat(piece, F.coalesce(hidden, F.lit(""))))
-    replaced = F.array_join(woven, "")
+    hit = text.rlike(PATTERNS[info_type])
     hint = _HINTS.get(info_type)
-    return replaced if hint is None else F.when(F.contains(text, F.lit(hint)), replaced).otherwise(text)
+    if hint is not None:
+        hit = F.contains(text, F.lit(hint)) & hit
+    return F.when(hit, F.array_join(woven, "")).otherwise(text)
 
 
 # ---- tokens (reversible with the key)

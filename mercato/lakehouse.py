@@ -136,9 +136,10 @@ class Table:
             columns.append(F.to_date(F.col(self.partition_of)).alias(self.partition))
         out = df.select(*columns)
         if self.partition:
-            # Rebalance, not repartition: AQE splits a day that holds most rows over many tasks.
-            out = out.hint("rebalance", self.partition)
-            out = out.sortWithinPartitions(self.partition, *self.cluster)
+            if self.cluster:
+                # Rebalance, not repartition: AQE splits a day that holds most rows over many tasks.
+                out = out.hint("rebalance", self.partition)
+                out = out.sortWithinPartitions(self.partition, *self.cluster)
             out.write.mode("overwrite").partitionBy(self.partition).parquet(where)
             head = f"{self.partition}="
             return [n[len(head):] for n in self._dir.names(where) if n.startswith(head)]
@@ -150,25 +151,32 @@ class Table:
     def _done(self, state: dict, txn: tuple[str, int] | None) -> bool:
         return txn is not None and state["txns"].get(txn[0], -1) >= txn[1]
 
-    def append(self, df: DataFrame, txn: tuple[str, int] | None = None) -> bool:
-        """Add rows. ``txn`` = (writer, batch number) makes a repeated batch a no-op."""
+    def read_version(self, version: int) -> DataFrame:
+        """Only the rows one write brought."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={version}")
+
+    def append(self, df: DataFrame, txn: tuple[str, int] | None = None) -> int | None:
+        """Add rows and return the new version.
+
+        ``txn`` = (writer, batch number) makes a repeated batch a no-op, with None returned.
+        """
         state = self.state()
         if self._done(state, txn):
-            return False
+            return None
         version = state["version"] + 1
         for part in self._write(df, version):
             state["parts"].setdefault(part, []).append(version)
         return self._finish(state, version, txn)
 
     def replace(self, df: DataFrame, parts: Iterable[str] | None = None,
-                txn: tuple[str, int] | None = None) -> bool:
+                txn: tuple[str, int] | None = None) -> int | None:
         """Put ``df`` in place of the named partitions (default: of everything).
 
         Partitions ``df`` brings that are not among the named ones gain rows.
         """
         state = self.state()
         if self._done(state, txn):
-            return False
+            return None
         version = state["version"] + 1
         gone = set(state["parts"]) if parts is None else set(parts)
         state["parts"] = {p: v for p, v in state["parts"].items() if p not in gone}
@@ -182,12 +190,12 @@ class Table:
         state["parts"] = {p: v for p, v in state["parts"].items() if p not in gone}
         self._finish(state, state["version"] + 1, None)
 
-    def _finish(self, state: dict, version: int, txn: tuple[str, int] | None) -> bool:
+    def _finish(self, state: dict, version: int, txn: tuple[str, int] | None) -> int:
         state["version"] = version
         if txn is not None:
             state["txns"][txn[0]] = txn[1]
         self._commit(state)
-        return True
+        return version
 
     def write(self, df: DataFrame, disposition: str = "append") -> None:
         """``append`` adds, ``truncate`` replaces, ``empty`` fails if rows exist."""

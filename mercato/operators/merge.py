@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -95,15 +95,26 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return source.join(target.select(*keys), list(keys), "left_anti")
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str],
+           small_source: bool = False) -> DataFrame:
     """Target after the merge: matched rows take ``update`` columns, others stay as first inserted.
 
     Presence of a row decides, not presence of a value: a NULL in the source overwrites.
+    One full outer join suits sides of like size. With ``small_source`` updates and
+    inserts are two joins, which lets the planner broadcast a source whose measured
+    size allows it and leave the target where it is.
     """
     columns = target.columns
     old = target.select(*keys, F.struct(*columns).alias("_old"))
     new = source.select(*keys, F.struct(*columns).alias("_new"))
-    both = old.join(new, list(keys), "full_outer")
+    if small_source:
+        kept = _settled(old.join(new, list(keys), "left"), columns, keys, update)
+        return kept.unionByName(insert_absent(target, source.select(*columns), keys))
+    return _settled(old.join(new, list(keys), "full_outer"), columns, keys, update)
+
+
+def _settled(both: DataFrame, columns: Sequence[str], keys: Sequence[str], update: Sequence[str]) -> DataFrame:
+    """Pick each column's value from the old and the new row."""
     fresh = set(update) | {"processed_at"}
     out = []
     for c in columns:
@@ -137,9 +148,13 @@ def rejected(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def merge_into(lake: Lakehouse, name: str, since: datetime | str | None = None, now=None,
-               on_duplicate: str = "latest", strict: bool = False) -> None:
+               on_duplicate: str = "latest", strict: bool = False,
+               protect: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Merge an entity's Bronze rows into its Silver table.
 
+    ``since`` takes only rows that arrived after it. ``protect`` is applied to the
+    rows before they are stored, e.g. to hide personal columns; off by default.
+
     Inserts only append. Updates never move a row to another day, so only days
     that hold a matched row are written again.
     """
@@ -149,14 +164,16 @@ def merge_into(lake: Lakehouse, name: str, since: datetime | str | None = None,
     if since is not None:
         bronze = bronze.where(F.col("ingested_at") > instant(since))
     source = batch(bronze, spec, now, on_duplicate, strict)
+    if protect is not None:
+        source = protect(source)
     if spec.insert_only:
         table.append(insert_absent(table.read(), source, spec.keys))
     elif spec.partition is None:
-        table.replace(upsert(table.read(), source, spec.keys, spec.update))
+        table.replace(upsert(table.read(), source, spec.keys, spec.update, since is not None))
     else:
         arriving, _ = split_required(parse_bronze(bronze, spec), spec.keys)
         days = _touched_days(table, arriving.select(*spec.keys).distinct(), spec)
-        table.replace(upsert(table.read(only=days), source, spec.keys, spec.update), days)
+        table.replace(upsert(table.read(only=days), source, spec.keys, spec.update, since is not None), days)
 
 
 def _touched_days(table: Table, arriving: DataFrame, spec: EntitySpec) -> list[str]:
