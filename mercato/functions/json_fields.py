@@ -23,28 +23,28 @@ def _object(text: Column, fields: Iterable[str], kind: str) -> Column:
 
 def parse_object(df: DataFrame, json_column: str, fields: Iterable[str], into: str,
                  look_closer: Column | None = None) -> DataFrame:
-    """Add ``into``, the fields' texts; NULL where the text is no JSON object.
+    """Add ``into``: ``into.text`` has the fields' texts, NULL where there is no JSON object.
 
     Texts do not tell a nested value from a string, or 0 from "0". For the rows
     where that can matter (``look_closer``; default: those with a bracket inside)
-    ``into`` + "_kinds" holds the fields as typed values, else it is NULL.
-    Generators hold the parses so that later filters cannot copy them below.
+    ``into.kind`` holds the fields as typed values, else it is NULL. A generator
+    holds the parse so that later filters cannot copy it below.
     """
     fields = list(fields)
     text = F.col(json_column)
-    parsed = df.select("*", F.explode_outer(F.array(_object(text, fields, "string"))).alias(into))
     if look_closer is None:
         inner = F.substring(F.ltrim(text), 2, 2_147_483_647)
         look_closer = F.contains(inner, F.lit("{")) | F.contains(inner, F.lit("["))
-    typed = F.when(look_closer, _object(text, fields, "variant"))
-    return parsed.select("*", F.explode_outer(F.array(typed)).alias(f"{into}_kinds"))
+    both = F.struct(_object(text, fields, "string").alias("text"),
+                    F.when(look_closer, _object(text, fields, "variant")).alias("kind"))
+    return df.select("*", F.explode(F.array(both)).alias(into))
 
 
 def scalar(parsed: str, field: str) -> Column:
     """Text of a scalar field; NULL if absent, JSON null, an object or an array."""
-    kinds = F.col(f"{parsed}_kinds")
+    text, kinds = F.col(f"{parsed}.text")[field], F.col(f"{parsed}.kind")
     nested = F.schema_of_variant(kinds[field]).rlike("^(OBJECT|ARRAY)")
-    return F.when(kinds.isNull(), F.col(parsed)[field]).when(~nested, F.col(parsed)[field])
+    return F.when(kinds.isNull(), text).when(~nested, text)
 
 
 # Texts that a value counting as false may have.
@@ -61,7 +61,7 @@ def truthy(parsed: str, field: str) -> Column:
 
     Needs a parse that looked closer at the ``maybe_falsy`` documents.
     """
-    text, kinds = F.col(parsed)[field], F.col(f"{parsed}_kinds")
+    text, kinds = F.col(f"{parsed}.text")[field], F.col(f"{parsed}.kind")
     kind = F.schema_of_variant(kinds[field])
     empty = text.rlike(r"^(-?0(\.0*)?([eE][+-]?\d+)?|false|\[\s*\]|\{\s*\})$")
     return (

@@ -289,10 +289,17 @@ VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "monthly_kpis": (monthly_kpis, ("orders",)),
 }
 
+# Views grouped by a time, and the table whose day partitions carry it.
+DATED = {"daily_revenue": "orders", "conversion_funnel": "events", "monthly_kpis": "orders"}
 
-def view(lake: Lakehouse, name: str, **options) -> DataFrame:
+
+def view(lake: Lakehouse, name: str, days: tuple[str, str] | None = None, **options) -> DataFrame:
+    """A Gold view. ``days`` (first, last) limits a dated view, and its scan, to those days' partitions."""
     make, inputs = VIEWS[name]
-    return partial(make, **options)(*[lake.silver(t).read() for t in inputs])
+    if days is not None and name not in DATED:
+        raise ValueError(f"{name} is not a view by date")
+    frames = [lake.silver(t).read(*(days or ()) if t == DATED.get(name) else ()) for t in inputs]
+    return partial(make, **options)(*frames)
 
 
 def register_views(lake: Lakehouse) -> list[str]:

@@ -13,6 +13,7 @@ from mercato.schemas import ENTITIES, EntitySpec
 
 CORRUPT = "_corrupt"
 PATH = "_path"
+BLOCK = "_block"
 
 
 def csv_columns(spec: EntitySpec) -> list[str]:
@@ -41,7 +42,8 @@ def _tidy(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Empty fields are '' (the reader gives NULL); a short row keeps NULL for what it lacks."""
     whole = F.col(CORRUPT).isNull()
     values = [F.coalesce(F.col(c), F.when(whole, F.lit(""))).alias(c) for c in columns]
-    return raw.select(*values, _plain_path(F.col("_metadata.file_path")).alias(PATH))
+    return raw.select(*values, _plain_path(F.col("_metadata.file_path")).alias(PATH),
+                      F.col("_metadata.file_block_start").alias(BLOCK))
 
 
 def read_entity_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None,
@@ -84,9 +86,23 @@ def route_by_folder(df: DataFrame, name_column: str, into: str = "table_name") -
     return df.withColumn(into, route(F.col(name_column)))
 
 
+def number_lines(rows: DataFrame, into: str) -> DataFrame:
+    """Row number within each file, without bringing a file's rows to one task.
+
+    A block of a file is read by one task in order, so a row's place in its block is
+    its distance from the block's first row; only counts per block are ordered.
+    """
+    placed = rows.withColumn("_at", F.monotonically_increasing_id())
+    blocks = placed.groupBy(PATH, BLOCK).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(PATH).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    line = F.col("_before") + F.col("_at") - F.col("_first") + 1
+    return placed.join(starts, [PATH, BLOCK]).withColumn(into, line).select(*rows.columns, into)
+
+
 def to_bronze(rows: DataFrame, entity: str, source: Column, now=None) -> DataFrame:
     """Envelope rows as JSON text: all columns as strings, in order, empty ones kept."""
-    columns = [c for c in rows.columns if c != PATH]
+    columns = [c for c in rows.columns if c not in (PATH, BLOCK)]
     doc = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns]),
                     {"ignoreNullFields": "false"})
     stamped = [source.alias("source"), instant(now).alias("ingested_at")]
@@ -95,9 +111,8 @@ def to_bronze(rows: DataFrame, entity: str, source: Column, now=None) -> DataFra
     if "event_id" in columns:
         event_id = F.col("event_id").cast("string")
     else:
-        # Only for files without the column: number the lines of each file.
-        by_file = Window.partitionBy(source).orderBy(F.monotonically_increasing_id())
-        event_id = F.concat(F.lit("ev-auto-"), F.row_number().over(by_file).cast("string"))
+        rows = number_lines(rows, "_line")
+        event_id = F.concat(F.lit("ev-auto-"), F.col("_line").cast("string"))
     event_type = F.col("event_type").cast("string") if "event_type" in columns else F.lit("unknown")
     return rows.select(event_id.alias("event_id"), event_type.alias("event_type"),
                        doc.alias("raw_payload"), *stamped)

@@ -109,9 +109,19 @@ def test_event_defaults_only_for_absent_columns(spark):
     with_columns = spark.createDataFrame([("", "", "f")], f"event_id string, event_type string, {csv_files.PATH} string")
     r = csv_files.to_bronze(with_columns, "events", F.lit("s")).first()
     assert (r.event_id, r.event_type) == ("", "")
-    without = spark.createDataFrame([("1", "f"), ("2", "f")], f"device string, {csv_files.PATH} string").coalesce(1)
-    got = rows(csv_files.to_bronze(without, "events", F.col(csv_files.PATH)), "event_id", "event_type")
-    assert got == [("ev-auto-1", "unknown"), ("ev-auto-2", "unknown")]
+
+
+def test_lines_are_numbered_per_file_across_blocks(spark, tmp_path):
+    root = landing(tmp_path, {f"events/{n}.csv": "device,timestamp\n" + "".join(f"{n}{i},t\n" for i in range(500))
+                              for n in "ab"})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = csv_files.bronze_from_folder(spark, root, "events", columns=["device", "timestamp"], multiline=False)
+        found = {(r.raw_payload, r.event_id, r.event_type) for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {(f'{{"device":"{n}{i}","timestamp":"t"}}', f"ev-auto-{i + 1}", "unknown")
+                     for n in "ab" for i in range(500)}
 
 
 def test_routing(spark):

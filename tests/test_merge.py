@@ -177,3 +177,7 @@ def test_views(lake):
     assert len(gold.register_views(lake)) == 5
     assert lake.spark.sql("select total_revenue from gold_monthly_kpis").first()[0] == 4.0
     assert lake.spark.sql("select * from gold_daily_revenue").count() == 0
+    assert gold.view(lake, "monthly_kpis", ("2026-01-01", "2026-01-31")).count() == 1
+    assert gold.view(lake, "monthly_kpis", ("2026-02-01", "2026-02-28")).count() == 0
+    with pytest.raises(ValueError):
+        gold.view(lake, "customer_metrics", ("2026-02-01", "2026-02-28"))
