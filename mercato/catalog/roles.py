@@ -26,10 +26,10 @@ EVENT_ROLES = {"view": "page_view", "click": "product_view", "signup": "add_to_c
 
 
 def choose(column: Column, mapping: dict[str, str], other: str) -> Column:
-    out = F.lit(other)
-    for key, value in reversed(mapping.items()):
-        out = F.when(column == key, value).otherwise(out)
-    return out
+    cases = F
+    for key, value in mapping.items():
+        cases = cases.when(column == key, value)
+    return cases.otherwise(other)
 
 
 class Store:

@@ -24,7 +24,7 @@ def counts_by_source(rows: DataFrame) -> DataFrame:
 
 
 def duplicate_sources(rows: DataFrame) -> DataFrame:
-    """Sources with more than one row, as the reference asks it: any file with two rows qualifies."""
+    """Sources with more than one row, by the plain HAVING rule: any file with two rows qualifies; see duplicate_loads."""
     return counts_by_source(rows).where("row_count > 1")
 
 

@@ -1,6 +1,6 @@
 """Gold metrics as lazy DataFrames over Silver.
 
-Where the reference query multiplies rows by joining children of one parent, the
+Where a plain query multiplies rows by joining children of one parent, the
 children are counted first and the multiplier applied as arithmetic: the same
 figures, no multiplied rows, and a key that holds most rows is already folded
 before it is shuffled. Silver keys of customers, products and orders are unique
@@ -12,13 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.casts import money, money_sum
 from mercato.functions.instants import day, ratio
 from mercato.lakehouse import Lakehouse
-from mercato.schemas import PAID_STATUSES
+from mercato.schemas import EVENT_TYPES, PAID_STATUSES
 
 
 def paid(orders: DataFrame) -> DataFrame:
@@ -35,7 +35,11 @@ def _orders_with_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     return paid(orders).join(per_order, "order_id")
 
 
-def _revenue_by_day(per_order: DataFrame, weight: Column) -> DataFrame:
+def _distinct(column: str, approximate: bool) -> Column:
+    return F.approx_count_distinct(column) if approximate else F.count_distinct(column)
+
+
+def _revenue_by_day(per_order: DataFrame, weight: Column, approximate: bool) -> DataFrame:
     counted = F.sum(F.when(F.col("total_amount").isNotNull(), weight))
     total = F.sum(money(F.col("total_amount")) * weight)
     return per_order.groupBy(F.to_date("ordered_at").alias("date"), "currency").agg(
@@ -43,19 +47,22 @@ def _revenue_by_day(per_order: DataFrame, weight: Column) -> DataFrame:
         F.count("order_id").alias("order_count"),
         _mean(total, counted).alias("avg_order_value"),
         F.sum("quantity").alias("items_sold"),
-        F.count_distinct("customer_id").alias("unique_customers"),
+        _distinct("customer_id", approximate).alias("unique_customers"),
     ).select("date", "total_revenue", "order_count", "avg_order_value", "items_sold",
              "unique_customers", "currency")
 
 
-def daily_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Paid revenue per day as the reference defines it: an order counts once per item."""
-    return _revenue_by_day(_orders_with_items(orders, items), F.col("lines"))
+def daily_revenue(orders: DataFrame, items: DataFrame, approximate: bool = False) -> DataFrame:
+    """Paid revenue per day with the joins the store uses: an order counts once per item.
+
+    ``approximate`` estimates the distinct customers, which spares a shuffle.
+    """
+    return _revenue_by_day(_orders_with_items(orders, items), F.col("lines"), approximate)
 
 
-def daily_revenue_exact(orders: DataFrame, items: DataFrame) -> DataFrame:
+def daily_revenue_exact(orders: DataFrame, items: DataFrame, approximate: bool = False) -> DataFrame:
     """The same days with each order counted once."""
-    return _revenue_by_day(_orders_with_items(orders, items), F.lit(1))
+    return _revenue_by_day(_orders_with_items(orders, items), F.lit(1), approximate)
 
 
 def segment(order_count: Column) -> Column:
@@ -115,7 +122,7 @@ def _product_metrics(children: DataFrame, times: Column) -> DataFrame:
 
 
 def product_metrics(products: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Sales and rating per product as the reference defines it: sales repeat once per review."""
+    """Sales and rating per product with the joins the store uses: sales repeat once per review."""
     times = F.greatest(F.coalesce("review_rows", F.lit(1)), F.lit(1))
     return _product_metrics(_product_children(products, items, reviews), times)
 
@@ -125,36 +132,38 @@ def product_metrics_exact(products: DataFrame, items: DataFrame, reviews: DataFr
     return _product_metrics(_product_children(products, items, reviews), F.lit(1))
 
 
-FUNNEL = (("page_views", "page_view"), ("product_views", "product_view"), ("add_to_cart", "add_to_cart"),
-          ("checkout_started", "checkout_start"), ("orders_completed", "purchase"))
+# Column, event type, and the name of the rate from the stage before (None: no rate).
+FUNNEL = (("page_views", "page_view", None), ("product_views", "product_view", None),
+          ("add_to_cart", "add_to_cart", "view_to_cart_rate"),
+          ("checkout_started", "checkout_start", "cart_to_checkout_rate"),
+          ("orders_completed", "purchase", "checkout_to_purchase_rate"))
 
 
-def _stage_counts(stages=FUNNEL) -> list[Column]:
-    return [F.count_if(F.col("event_type") == kind).alias(name) for name, kind in stages]
+def type_counts(types) -> list[Column]:
+    """Aggregates counting events of each (column, event type)."""
+    return [F.count_if(F.col("event_type") == kind).alias(name) for name, kind in types]
 
 
-def _with_stage_rates(counts: DataFrame) -> DataFrame:
-    return counts.select(
-        "*",
-        ratio(F.col("add_to_cart"), F.col("product_views")).alias("view_to_cart_rate"),
-        ratio(F.col("checkout_started"), F.col("add_to_cart")).alias("cart_to_checkout_rate"),
-        ratio(F.col("orders_completed"), F.col("checkout_started")).alias("checkout_to_purchase_rate"),
-    )
+def funnel(grouped: GroupedData, stages=FUNNEL) -> DataFrame:
+    """Counts per stage of grouped events, then the rates between neighbouring stages."""
+    counts = grouped.agg(*type_counts([s[:2] for s in stages]))
+    rates = [ratio(F.col(here[0]), F.col(before[0])).alias(here[2])
+             for before, here in zip(stages, stages[1:]) if here[2]]
+    return counts.select("*", *rates)
 
 
 def conversion_funnel(events: DataFrame, stages=FUNNEL) -> DataFrame:
     """Events per funnel stage and day, with the rate from each stage to the next."""
-    counts = events.groupBy(F.to_date("event_timestamp").alias("date")).agg(*_stage_counts(stages))
-    return _with_stage_rates(counts)
+    return funnel(events.groupBy(F.to_date("event_timestamp").alias("date")), stages)
 
 
-def monthly_kpis(orders: DataFrame, month_as_date: bool = False) -> DataFrame:
+def monthly_kpis(orders: DataFrame, month_as_date: bool = False, approximate: bool = False) -> DataFrame:
     month = F.date_trunc("MONTH", "ordered_at")
     total = money_sum(F.col("total_amount"))
     return paid(orders).groupBy((F.to_date(month) if month_as_date else month).alias("month")).agg(
         total.cast("double").alias("total_revenue"),
         F.count("order_id").alias("order_count"),
-        F.count_distinct("customer_id").alias("active_customers"),
+        _distinct("customer_id", approximate).alias("active_customers"),
         _mean(total, F.count("total_amount")).alias("avg_order_value"),
     )
 
@@ -251,9 +260,7 @@ def payment_summary(payments: DataFrame) -> DataFrame:
 
 def traffic_stats(events: DataFrame) -> DataFrame:
     """Totals per event type and the two headline rates in percent, over all events."""
-    from mercato.schemas import EVENT_TYPES
-
-    counts = events.agg(F.count("*").alias("total"), *_stage_counts([(t, t) for t in EVENT_TYPES]))
+    counts = events.agg(F.count("*").alias("total"), *type_counts([(t, t) for t in EVENT_TYPES]))
     return counts.select(
         "*",
         (ratio(F.col("add_to_cart"), F.col("product_view")) * 100).alias("view_to_cart_pct"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from graphlib import TopologicalSorter
 
 from mercato.lakehouse import Lakehouse
@@ -10,23 +11,37 @@ from mercato.operators.merge import merge_into
 from mercato.schemas import ENTITIES
 
 
+def _graph(entities: Iterable[str] | None) -> TopologicalSorter:
+    wanted = set(ENTITIES if entities is None else entities)
+    return TopologicalSorter({n: [a for a in ENTITIES[n].after if a in wanted] for n in ENTITIES if n in wanted})
+
+
 def merge_order(entities: Iterable[str] | None = None) -> list[str]:
     """Entities so that each comes after those it refers to."""
-    wanted = set(ENTITIES if entities is None else entities)
-    graph = {n: [a for a in ENTITIES[n].after if a in wanted] for n in ENTITIES if n in wanted}
-    return list(TopologicalSorter(graph).static_order())
+    return list(_graph(entities).static_order())
+
 
+def bronze_to_silver(lake: Lakehouse, entities: Iterable[str] | None = None, retries: int = 2,
+                     at_once: int = 4, **how) -> list[str]:
+    """Merge the named entities (default all eight).
 
-def bronze_to_silver(lake: Lakehouse, entities: Iterable[str] | None = None, retries: int = 2, **how) -> list[str]:
-    """Merge the named entities (default all eight); each is tried again up to ``retries`` times."""
-    done = []
-    for name in merge_order(entities):
+    Entities that do not wait for each other run as concurrent Spark jobs; each
+    is tried again up to ``retries`` times.
+    """
+    def run(name: str) -> str:
         for attempt in range(retries + 1):
             try:
                 merge_into(lake, name, **how)
-                break
+                return name
             except Exception:
                 if attempt == retries:
                     raise
-        done.append(name)
+
+    waiting, done = _graph(entities), []
+    waiting.prepare()
+    with ThreadPoolExecutor(at_once) as pool:
+        while waiting.is_active():
+            ready = waiting.get_ready()
+            done += pool.map(run, ready)
+            waiting.done(*ready)
     return done

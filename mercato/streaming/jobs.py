@@ -17,7 +17,7 @@ from mercato.lakehouse import Lakehouse, Table
 from mercato.operators.ingest import append_bronze
 from mercato.operators.merge import parse_bronze
 from mercato.operators.privacy import protect_payload
-from mercato.plans.gold import _stage_counts, _with_stage_rates
+from mercato.plans.gold import funnel
 from mercato.schemas import ENTITIES
 from mercato.sources.csv_files import PATH, csv_columns, relative_path, stream_entity_csv, to_bronze
 from mercato.sources.messages import check_events, event_errors, valid_events
@@ -45,7 +45,8 @@ def events_to_bronze(lake: Lakehouse, messages: DataFrame, checkpoint: str, erro
                      now=None, every: str | None = None) -> StreamingQuery:
     """Messages to ``events_raw``, and bad ones to ``events_errors`` if asked.
 
-    ``dedupe`` (a time span) drops repeated event ids that arrive within it.
+    ``dedupe`` (a time span) drops what is delivered again within it: valid
+    messages by event id, bad ones by their text.
     ``policy`` protects personal fields of the payload on the way.
     """
     good, bad = lake.bronze("events_raw"), lake.bronze("events_errors")
@@ -54,8 +55,10 @@ def events_to_bronze(lake: Lakehouse, messages: DataFrame, checkpoint: str, erro
     if policy:
         checked = checked.withColumn("raw_payload", protect_payload(F.col("raw_payload"), policy, key))
     if dedupe:
-        once = valid_events(checked).withWatermark("ingested_at", dedupe).dropDuplicatesWithinWatermark(["event_id"])
-        return to_table(once, good, checkpoint, every=every)
+        same = F.when(F.col("error_type").isNull(), F.concat(F.lit("id:"), F.col("event_id"))).otherwise(
+            F.sha2("raw_message", 256))
+        checked = checked.withColumn("_same", same).withWatermark(
+            "ingested_at", dedupe).dropDuplicatesWithinWatermark(["_same"])
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
@@ -139,7 +142,6 @@ def abandoned_carts(events: DataFrame, timeout: str, key: str = "session_id", la
 
 def live_funnel(events: DataFrame, size: str = "5 minutes", lateness: str = LATENESS) -> DataFrame:
     """Funnel counts and rates per window."""
-    counts = events.withWatermark("event_timestamp", lateness).groupBy(
-        F.window("event_timestamp", size).alias("w")).agg(*_stage_counts())
-    return _with_stage_rates(counts).select(F.col("w.start").alias("window_start"),
-                                            *[c for c in _with_stage_rates(counts).columns if c != "w"])
+    stages = funnel(events.withWatermark("event_timestamp", lateness).groupBy(
+        F.window("event_timestamp", size).alias("w")))
+    return stages.select(F.col("w.start").alias("window_start"), *stages.columns[1:])

@@ -71,6 +71,7 @@ def test_monthly(spark, shop):
     assert rows(full, "total_revenue", "order_count", "active_customers", "new_customers", "returning_customers") == [
         (45.0, 4, 2, 2, 0)]
     assert gold.monthly_kpis(shop["orders"], month_as_date=True).schema["month"].dataType.simpleString() == "date"
+    assert rows(gold.monthly_kpis(shop["orders"], approximate=True), "active_customers") == [(2,)]
     undated = shop["orders"].withColumn("ordered_at", F.lit(None).cast("timestamp"))
     assert rows(gold.monthly_kpis(undated), "month", "order_count") == [(None, 4)]
 
@@ -80,6 +81,8 @@ def test_rates_are_null_without_a_divisor(spark):
         "event_timestamp", F.lit("2026-01-01").cast("timestamp"))
     r = gold.conversion_funnel(events).first()
     assert r.orders_completed == 1 and r.checkout_to_purchase_rate is None and r.page_views == 0
+    short = gold.conversion_funnel(events, (("searches", "search", None), ("bought", "purchase", "rate"))).first()
+    assert (short.searches, short.bought, short.rate) == (1, 1, 1.0)
     assert gold.traffic_stats(events).first().search == 1
 
 

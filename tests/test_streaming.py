@@ -62,10 +62,11 @@ def test_missing_target_is_an_error(spark, tmp_path):
 
 
 def test_repeated_ids_are_dropped(spark, lake, tmp_path):
-    send(tmp_path / "in", "a.json", CLICKS + CLICKS)
+    send(tmp_path / "in", "a.json", [*CLICKS, "bad", "worse", *CLICKS, "bad"])
     run(jobs.events_to_bronze(lake, messages.read_event_stream(spark, str(tmp_path / "in")), str(tmp_path / "cp"),
                               dedupe="1 hour"))
     assert lake.bronze("events_raw").read().count() == 4
+    assert rows(lake.bronze("events_errors").read(), "raw_message") == [("bad",), ("worse",)]
 
 
 def test_payload_is_protected_on_the_way(spark, lake, tmp_path):
