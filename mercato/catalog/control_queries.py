@@ -119,6 +119,26 @@ def generalize(s: Store):
     return ips.unionByName(dates).unionByName(places).groupBy("kind", "value", "shown").agg(F.count("*").alias("n"))
 
 
+@query("deidentify", with_roles(f"""
+    SELECT customer_id, {_masked('email', 'EMAIL_ADDRESS')} AS email, CAST(NULL AS VARCHAR) AS first_name, last_name,
+      {_masked('phone', 'PHONE_NUMBER')} AS phone, country, city, city || ', ' || country AS address
+    FROM s_customers""", "s_customers"))
+def deidentify(s: Store):
+    return privacy.deidentify(s.customers(), {
+        "email": "mask_email", "phone": "mask_phone", "first_name": "remove", "address": "city"})
+
+
+@query("pii_columns", with_roles("""
+    SELECT 'email' AS column_name, 'EMAIL_ADDRESS' AS info_type, count(*) AS findings FROM s_customers
+    UNION ALL SELECT 'phone', 'PHONE_NUMBER', count(*) FROM s_customers
+    UNION ALL SELECT 'first_name', 'PERSON_NAME', count(*) FROM s_customers
+    UNION ALL SELECT 'address', 'STREET_ADDRESS', count(*) FROM s_customers""", "s_customers"))
+def pii_columns(s: Store):
+    """Findings per column of the customers: by pattern, names and addresses by tag."""
+    people = s.customers().drop("last_name")
+    return privacy.inspect_columns(people, {"first_name": "PERSON_NAME", "address": "STREET_ADDRESS"})
+
+
 @query("tokenize_join", with_roles("""
     SELECT c.customer_id, c.email, count(*) AS order_count,
       CAST(sum(CAST(o.total_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_spent, true AS reversible

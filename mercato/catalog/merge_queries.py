@@ -15,7 +15,7 @@ from mercato.catalog.registry import ORACLES, query
 from mercato.catalog.roles import Store, choose, silver_events, with_roles
 from mercato.lakehouse import Lakehouse
 from mercato.operators import ingest, merge
-from mercato.plans import gold
+from mercato.plans import gold, medallion
 from mercato.schemas import ENTITIES
 from mercato.session import scratch_path
 from mercato.sources import csv_files
@@ -168,17 +168,18 @@ def merge_payments(s: Store):
     return two_loads("payments", first, load(pays, SECOND_LOAD, F.lit("12,50"), F.col("status")))
 
 
-_ITEM_PICK = """row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC,
-    'supplier/' || l_suppkey DESC, CAST(l_partkey AS VARCHAR) DESC, l_quantity DESC, l_tax DESC,
-    l_extendedprice DESC, l_discount DESC)"""
+_BY_VALUES = """'supplier/' || l_suppkey DESC, CAST(l_partkey AS VARCHAR) DESC, l_quantity DESC, l_tax DESC,
+    l_extendedprice DESC, l_discount DESC"""
+_ITEM_PICK = f"row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, {_BY_VALUES})"
+_LOAD_PICK = f"row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_BY_VALUES})"
 
 
-def _item_rows(s: Store, df: DataFrame) -> DataFrame:
+def _item_rows(df: DataFrame, at: Column | None = None) -> DataFrame:
     return raw("order_items", df, FIRST_LOAD, *named(
         order_item_id=F.concat(F.lit("oi-"), F.concat_ws("-", "l_orderkey", "l_linenumber")),
         order_id=F.col("l_orderkey"), product_id=F.col("l_partkey"), quantity=F.col("l_quantity").cast("bigint"),
         unit_price=F.col("l_tax"), total_price=F.col("l_extendedprice"), discount=F.col("l_discount")),
-        source=F.concat(F.lit("supplier/"), F.col("l_suppkey")), at=F.col("l_shipdate"))
+        source=F.concat(F.lit("supplier/"), F.col("l_suppkey")), at=at)
 
 
 @query("merge_order_items", f"""
@@ -192,8 +193,8 @@ def _item_rows(s: Store, df: DataFrame) -> DataFrame:
 def merge_order_items(s: Store):
     lines, spec = s.table("lineitem"), ENTITIES["order_items"]
     early = lines.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp"))
-    before = merge.batch(_item_rows(s, early), spec, FIRST_LOAD)
-    arriving = merge.batch(_item_rows(s, lines), spec, SECOND_LOAD)
+    before = merge.batch(_item_rows(early, F.col("l_shipdate")), spec, FIRST_LOAD)
+    arriving = merge.batch(_item_rows(lines, F.col("l_shipdate")), spec, SECOND_LOAD)
     return merge.merged(before, arriving, spec).drop("processed_at")
 
 
@@ -235,6 +236,19 @@ def merge_reviews(s: Store):
     return two_loads("reviews", first, load(events, SECOND_LOAD, F.lit("4.5")))
 
 
+@query("insert_if_absent", """
+    WITH early AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'),
+      late AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_partkey NOT IN (SELECT l_partkey FROM early))
+    SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS warehouse FROM early
+    UNION ALL SELECT CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR) FROM late""")
+def insert_if_absent(s: Store):
+    """The older load keyed inventory by product alone: further warehouses of a known product stay out."""
+    lines = s.table("lineitem")
+    pairs = [F.col("l_partkey").cast("string").alias("product_id"), F.col("l_suppkey").cast("string").alias("warehouse")]
+    early = lines.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp")).select(*pairs).distinct()
+    return merge.insert_if_absent(early, lines.select(*pairs).distinct(), ENTITIES["inventory"], ["product_id"])
+
+
 # ---- keys and duplicates
 
 
@@ -359,6 +373,29 @@ def orders_on_date(s: Store):
     return day.select("order_id", "customer_id", "total_amount", "ordered_at")
 
 
+@query("medallion_products", f"""
+    WITH items AS (SELECT * FROM (SELECT *, {_LOAD_PICK} AS pick FROM lineitem) WHERE pick = 1),
+      sold AS (SELECT l_partkey, sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS revenue,
+        sum(CAST(l_quantity AS BIGINT)) AS units, count(DISTINCT l_orderkey) AS orders FROM items GROUP BY 1),
+      rated AS (SELECT user_id, avg(event_id % 5 + 1) AS avg_rating, count(*) AS n FROM events GROUP BY 1)
+    SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_type AS category,
+      coalesce(CAST(revenue * greatest(coalesce(n, 1), 1) AS DOUBLE), 0.0) AS total_revenue,
+      CAST(coalesce(units * greatest(coalesce(n, 1), 1), 0) AS BIGINT) AS units_sold, coalesce(orders, 0) AS order_count,
+      avg_rating, coalesce(n, 0) AS review_count
+    FROM part LEFT JOIN sold ON p_partkey = l_partkey LEFT JOIN rated ON p_partkey = user_id""")
+def medallion_products(s: Store):
+    """Three entities through a lakehouse: Bronze rows, the merge run, the Gold view."""
+    lake = Lakehouse(s.spark, scratch_path(s.spark, "lake")).create()
+    c = F.col
+    lake.bronze("products_raw").append(raw("products", s.table("part"), FIRST_LOAD, *named(
+        id=c("p_partkey"), name=c("p_name"), category=c("p_type"), price=c("p_retailprice"))))
+    lake.bronze("order_items_raw").append(_item_rows(s.table("lineitem")))
+    lake.bronze("reviews_raw").append(raw("reviews", s.reviews(), FIRST_LOAD, *named(
+        review_id=c("review_id"), product_id=c("product_id"), rating=c("rating"), created_at=iso(c("created_at")))))
+    medallion.bronze_to_silver(lake, ["products", "order_items", "reviews"], now=SECOND_LOAD)
+    return gold.view(lake, "product_metrics")
+
+
 @query("medallion_funnel", ORACLES["conversion_funnel"])
 def medallion_funnel(s: Store):
     """Events through a lakehouse of their own: Bronze rows, merge, Gold view."""

@@ -10,6 +10,7 @@ from mercato.catalog.registry import query
 from mercato.catalog.roles import SCHEMAS, Store, silver_events, with_roles
 from mercato.lakehouse import Lakehouse, Table
 from mercato.operators import checks
+from mercato.operators.merge import merge_into
 from mercato.session import scratch_path
 from mercato.sources import messages
 from mercato.streaming import jobs
@@ -136,6 +137,21 @@ def stream_events_to_bronze(s: Store):
     return stored.unionByName(failed).groupBy("outcome").agg(F.count("*").alias("messages"))
 
 
+@query("stream_csv_to_bronze", with_roles("""
+    SELECT CAST(review_id AS VARCHAR) AS review_id, CAST(product_id AS VARCHAR) AS product_id, rating
+    FROM s_reviews""", "s_reviews"))
+def stream_csv_to_bronze(s: Store):
+    """Reviews as CSV files in a landing folder, picked up by the file stream, merged."""
+    home = scratch_path(s.spark, "inbox")
+    lake = Lakehouse(s.spark, f"{home}/lake").create()
+    made = s.reviews().select("review_id", "product_id", "customer_id", "rating", F.lit("").alias("title"),
+                              F.lit("").alias("comment"), iso(F.col("created_at")).alias("created_at"))
+    made.write.option("header", "true").csv(f"{home}/landing/reviews")
+    jobs.csv_to_bronze(lake, f"{home}/landing", "reviews", f"{home}/checkpoint", now=FIRST_LOAD).awaitTermination()
+    merge_into(lake, "reviews", now=FIRST_LOAD)
+    return lake.silver("reviews").read().select("review_id", "product_id", "rating")
+
+
 @query("stream_event_metrics_5min", with_roles(f"""
     SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start,
       time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE AS window_end, event_type,

@@ -9,6 +9,7 @@ append adds a version, a rewrite of some days replaces those days only.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -50,6 +51,9 @@ class _Folder:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(where)]
 
+    def has(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
     def read(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:
@@ -57,12 +61,15 @@ class _Folder:
         finally:
             stream.close()
 
-    def create(self, path: str, text: str) -> None:
-        """Write to a side name first; the rename fails if another writer was faster."""
-        final, side = self._path(path), self._path(path + ".tmp")
-        stream = self._fs.create(side, True)
+    def put(self, path: str, text: str) -> None:
+        stream = self._fs.create(self._path(path), True)
         stream.write(bytearray(text, "utf-8"))
         stream.close()
+
+    def create(self, path: str, text: str) -> None:
+        """Write to a side name first; the rename fails if another writer was faster."""
+        final, side = self._path(path), self._path(f"{path}.{uuid.uuid4().hex}.tmp")
+        self.put(side.toString(), text)
         if self._fs.exists(final) or not self._fs.rename(side, final):
             raise RuntimeError(f"another writer committed {path} first; run the write again")
 
@@ -77,20 +84,25 @@ class Table:
 
     # ---- commits
 
-    def _commit_names(self) -> list[str]:
-        return sorted(n for n in self._dir.names(f"{self.path}/_commits") if n.endswith(".json"))
+    def _commit_path(self, version: int) -> str:
+        return f"{self.path}/_commits/{version:010d}.json"
 
     def exists(self) -> bool:
-        return bool(self._commit_names())
+        return self._dir.has(self._commit_path(0))
 
     def state(self) -> dict:
-        names = self._commit_names()
-        if not names:
+        """The latest commit. ``_CURRENT`` says where to start looking, so nothing is listed."""
+        if not self.exists():
             raise TableMissing(self.path)
-        return json.loads(self._dir.read(f"{self.path}/_commits/{names[-1]}"))
+        hint = f"{self.path}/_CURRENT"
+        version = int(self._dir.read(hint) or 0) if self._dir.has(hint) else 0
+        while self._dir.has(self._commit_path(version + 1)):
+            version += 1
+        return json.loads(self._dir.read(self._commit_path(version)))
 
     def _commit(self, state: dict) -> None:
-        self._dir.create(f"{self.path}/_commits/{state['version']:010d}.json", json.dumps(state))
+        self._dir.create(self._commit_path(state["version"]), json.dumps(state))
+        self._dir.put(f"{self.path}/_CURRENT", str(state["version"]))
 
     def create(self) -> Table:
         if not self.exists():
@@ -184,6 +196,17 @@ class Table:
             state["parts"].setdefault(part, []).append(version)
         return self._finish(state, version, txn)
 
+    def compact(self, until: date | str | None = None) -> list[str]:
+        """Rewrite partitions made up of several writes (up to day ``until``) as one; returns them.
+
+        Many small appends, as from a stream, otherwise leave many small files.
+        """
+        last = str(until or "9999-12-31")
+        many = [p for p, v in self.state()["parts"].items() if len(v) > 1 and (p <= last or p == NULL_PARTITION)]
+        if many:
+            self.replace(self.read(only=many), many)
+        return sorted(many)
+
     def drop_parts(self, parts: Iterable[str]) -> None:
         """Forget whole partitions (retention); their files are no longer read."""
         state, gone = self.state(), set(parts)

@@ -46,6 +46,25 @@ def test_repeated_batch_is_written_once(spark, tmp_path):
     assert t.read().count() == 2
 
 
+def test_compaction_keeps_rows_and_cuts_files(spark, tmp_path):
+    t = make(spark, tmp_path / "t").create()
+    for i in range(4):
+        t.append(data(spark, (i, "2026-01-01 00:00:00"), (10 + i, "2026-01-02 00:00:00")))
+    assert t.compact("2026-01-01") == ["2026-01-01"]
+    assert len(t.read("2026-01-01", "2026-01-01").inputFiles()) == 1
+    assert len(t.read("2026-01-02", "2026-01-02").inputFiles()) == 4
+    assert rows(t.read(), "k") == [(k,) for k in (0, 1, 10, 11, 12, 13, 2, 3)]
+    assert t.compact("2026-01-01") == []
+
+
+def test_latest_commit_is_found_past_a_stale_hint(spark, tmp_path):
+    t = make(spark, tmp_path / "t", partition=False).create()
+    t.append(data(spark, (1, None)))
+    (tmp_path / "t" / "_CURRENT").write_text("0")
+    (tmp_path / "t" / "._CURRENT.crc").unlink(missing_ok=True)
+    assert t.state()["version"] == 1
+
+
 def test_lost_write_is_not_seen_and_racing_commit_fails(spark, tmp_path):
     t = make(spark, tmp_path / "t").create()
     state = t.state()
