@@ -1,8 +1,11 @@
 """Scalar fields out of JSON text, one parse per row.
 
-The text is wrapped as the value of a one-field object before parsing. Trailing
-text, two objects on one line, arrays and bare scalars are then plain syntax or
-type errors, which leaves a NULL struct: NULL means "not one JSON object".
+The text is wrapped as one field of an object, with an end mark as the next field.
+Arrays, bare scalars, trailing text and two objects on one line are then plain type
+or syntax errors, and a brace too many closes the wrapper before the end mark is
+read. A syntax error inside a wanted field would only lose that field; the column
+for corrupt records tells. So: a document is one JSON object exactly if both fields
+come out and nothing was corrupt.
 """
 
 from __future__ import annotations
@@ -12,23 +15,24 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_OPTIONS = {"allowSingleQuotes": "false"}
+_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "__bad"}
 
 
 def _object(text: Column, fields: Iterable[str], kind: str) -> Column:
     shape = ", ".join(f"`{f}`: {kind}" for f in fields)
-    wrapped = F.concat(F.lit('{"r":'), text, F.lit("}"))
-    return F.from_json(wrapped, f"r struct<{shape}>", _OPTIONS)["r"]
+    wrapped = F.concat(F.lit('{"__doc":'), text, F.lit(',"__end":1}'))
+    return F.from_json(wrapped, f"__doc struct<{shape}>, __end int, __bad string", _OPTIONS)
 
 
 def parse_object(df: DataFrame, json_column: str, fields: Iterable[str], into: str,
                  look_closer: Column | None = None) -> DataFrame:
-    """Add ``into``: ``into.text`` has the fields' texts, NULL where there is no JSON object.
+    """Add ``into``, to be read with ``is_object``, ``field_text``, ``scalar`` and ``truthy``.
 
-    Texts do not tell a nested value from a string, or 0 from "0". For the rows
-    where that can matter (``look_closer``; default: those with a bracket inside)
-    ``into.kind`` holds the fields as typed values, else it is NULL. A generator
-    holds the parse so that later filters cannot copy it below.
+    ``into.text`` holds the fields as texts, which do not tell a nested value from a
+    string, or 0 from "0". For the rows where that can matter (``look_closer``;
+    default: those with a bracket inside) ``into.kind`` holds the fields as typed
+    values, else it is NULL. A generator holds the parse so that later filters
+    cannot copy it below.
     """
     fields = list(fields)
     text = F.col(json_column)
@@ -36,13 +40,24 @@ def parse_object(df: DataFrame, json_column: str, fields: Iterable[str], into: s
         inner = F.substring(F.ltrim(text), 2, 2_147_483_647)
         look_closer = F.contains(inner, F.lit("{")) | F.contains(inner, F.lit("["))
     both = F.struct(_object(text, fields, "string").alias("text"),
-                    F.when(look_closer, _object(text, fields, "variant")).alias("kind"))
+                    F.when(look_closer, _object(text, fields, "variant")["__doc"]).alias("kind"))
     return df.select("*", F.explode(F.array(both)).alias(into))
 
 
+def is_object(parsed: str) -> Column:
+    """Whether the document is one JSON object."""
+    part = F.col(f"{parsed}.text")
+    return part["__doc"].isNotNull() & part["__end"].isNotNull() & part["__bad"].isNull()
+
+
+def field_text(parsed: str, field: str) -> Column:
+    """Text of any field, nested ones as JSON; NULL if absent or not in a JSON object."""
+    return F.when(is_object(parsed), F.col(f"{parsed}.text.__doc")[field])
+
+
 def scalar(parsed: str, field: str) -> Column:
     """Text of a scalar field; NULL if absent, JSON null, an object or an array."""
-    text, kinds = F.col(f"{parsed}.text")[field], F.col(f"{parsed}.kind")
+    text, kinds = field_text(parsed, field), F.col(f"{parsed}.kind")
     nested = F.schema_of_variant(kinds[field]).rlike("^(OBJECT|ARRAY)")
     return F.when(kinds.isNull(), text).when(~nested, text)
 
@@ -61,7 +76,7 @@ def truthy(parsed: str, field: str) -> Column:
 
     Needs a parse that looked closer at the ``maybe_falsy`` documents.
     """
-    text, kinds = F.col(f"{parsed}.text")[field], F.col(f"{parsed}.kind")
+    text, kinds = field_text(parsed, field), F.col(f"{parsed}.kind")
     kind = F.schema_of_variant(kinds[field])
     empty = text.rlike(r"^(-?0(\.0*)?([eE][+-]?\d+)?|false|\[\s*\]|\{\s*\})$")
     return (

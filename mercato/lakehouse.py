@@ -1,16 +1,19 @@
 """Tables as Parquet files plus a small commit record.
 
-A write lands in a new ``v=<n>`` folder and becomes visible when its commit file
-appears, so readers never see half a write and a lost job leaves only an unread
-folder. A commit lists, per partition value, the versions that make it up: an
-append adds a version, a rewrite of some days replaces those days only.
+A write lands in a ``w=<id>`` folder of its own and becomes visible when its commit
+file appears, so readers never see half a write and a lost job leaves only an
+unread folder. A commit lists, per partition value, the writes that make it up: an
+append adds one, a rewrite of some days replaces those days only. Appends of
+several writers all get in; a rewrite fails if its days were written meanwhile.
+Commits need a file system that refuses to rename onto an existing file (HDFS does);
+on others keep to one writer per table.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +35,10 @@ class TableMissing(RuntimeError):
     """Writers never create tables."""
 
 
+class TableChanged(RuntimeError):
+    """Rows a rewrite was computed from have been replaced by another writer."""
+
+
 class TableNotEmpty(RuntimeError):
     """The ``empty`` disposition found rows."""
 
@@ -66,12 +73,11 @@ class _Folder:
         stream.write(bytearray(text, "utf-8"))
         stream.close()
 
-    def create(self, path: str, text: str) -> None:
-        """Write to a side name first; the rename fails if another writer was faster."""
+    def create(self, path: str, text: str) -> bool:
+        """Write to a side name first, then rename; False if another writer was faster."""
         final, side = self._path(path), self._path(f"{path}.{uuid.uuid4().hex}.tmp")
         self.put(side.toString(), text)
-        if self._fs.exists(final) or not self._fs.rename(side, final):
-            raise RuntimeError(f"another writer committed {path} first; run the write again")
+        return not self._fs.exists(final) and self._fs.rename(side, final)
 
 
 class Table:
@@ -100,13 +106,9 @@ class Table:
             version += 1
         return json.loads(self._dir.read(self._commit_path(version)))
 
-    def _commit(self, state: dict) -> None:
-        self._dir.create(self._commit_path(state["version"]), json.dumps(state))
-        self._dir.put(f"{self.path}/_CURRENT", str(state["version"]))
-
     def create(self) -> Table:
         if not self.exists():
-            self._commit({"version": 0, "parts": {}, "txns": {}})
+            self._dir.create(self._commit_path(0), json.dumps({"version": 0, "parts": {}, "txns": {}}))
         return self
 
     # ---- reads
@@ -123,102 +125,122 @@ class Table:
         stored = T.StructType(list(self.schema))
         if self.partition:
             stored.add(self.partition, T.DateType())
-        paths = [self._part_path(version, part) for part, versions in parts.items() for version in versions]
+        paths = [self._part_path(write, part) for part, writes in parts.items() for write in writes]
         if not paths:
             df = self.spark.createDataFrame([], stored)
         else:
-            stored.add("v", T.LongType())
-            df = self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths).drop("v")
+            stored.add("w", T.StringType())
+            df = self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths).drop("w")
         return df if keep_partition or not self.partition else df.drop(self.partition)
 
-    def _part_path(self, version: int, part: str) -> str:
+    def _part_path(self, write_id: str, part: str) -> str:
         tail = f"/{self.partition}={part}" if self.partition else ""
-        return f"{self.path}/v={version}{tail}"
+        return f"{self.path}/w={write_id}{tail}"
 
     def days(self) -> list[str]:
         return sorted(self.state()["parts"])
 
     # ---- writes
 
-    def _write(self, df: DataFrame, version: int) -> list[str]:
-        """Write one version folder and return the partition values it holds."""
-        where = f"{self.path}/v={version}"
+    def _write(self, df: DataFrame) -> tuple[str, list[str]]:
+        """Write a folder of its own; returns its id and the partition values it holds."""
+        write_id = uuid.uuid4().hex
+        where = f"{self.path}/w={write_id}"
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
         if self.partition:
             columns.append(F.to_date(F.col(self.partition_of)).alias(self.partition))
         out = df.select(*columns)
-        if self.partition:
-            if self.cluster:
-                # Rebalance, not repartition: AQE splits a day that holds most rows over many tasks.
-                out = out.hint("rebalance", self.partition)
-                out = out.sortWithinPartitions(self.partition, *self.cluster)
-            out.write.mode("overwrite").partitionBy(self.partition).parquet(where)
-            head = f"{self.partition}="
-            return [n[len(head):] for n in self._dir.names(where) if n.startswith(head)]
         if self.cluster:
-            out = out.hint("rebalance").sortWithinPartitions(*self.cluster)
-        out.write.mode("overwrite").parquet(where)
-        return [WHOLE]
+            # Rebalance, not repartition: AQE splits a day or value that holds most rows over many tasks.
+            out = out.hint("rebalance", *([self.partition] if self.partition else self.cluster))
+            out = out.sortWithinPartitions(*([self.partition] if self.partition else []), *self.cluster)
+        if not self.partition:
+            out.write.parquet(where)
+            return write_id, [WHOLE]
+        out.write.partitionBy(self.partition).parquet(where)
+        head = f"{self.partition}="
+        return write_id, [n[len(head):] for n in self._dir.names(where) if n.startswith(head)]
 
     def _done(self, state: dict, txn: tuple[str, int] | None) -> bool:
         return txn is not None and state["txns"].get(txn[0], -1) >= txn[1]
 
-    def read_version(self, version: int) -> DataFrame:
-        """Only the rows one write brought."""
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={version}")
-
-    def append(self, df: DataFrame, txn: tuple[str, int] | None = None) -> int | None:
-        """Add rows and return the new version.
+    def _commit_change(self, change: Callable[[dict], None], txn: tuple[str, int] | None = None) -> bool:
+        """Apply a change to the latest state; if another commit comes first, to the one after it."""
+        for _ in range(100):
+            state = self.state()
+            if self._done(state, txn):
+                return False
+            change(state["parts"])
+            state["version"] += 1
+            if txn is not None:
+                state["txns"][txn[0]] = txn[1]
+            if self._dir.create(self._commit_path(state["version"]), json.dumps(state)):
+                self._dir.put(f"{self.path}/_CURRENT", str(state["version"]))
+                return True
+        raise RuntimeError(f"could not commit to {self.path}")
+
+    def append(self, df: DataFrame, txn: tuple[str, int] | None = None) -> str | None:
+        """Add rows and return the id of the write.
 
         ``txn`` = (writer, batch number) makes a repeated batch a no-op, with None returned.
         """
-        state = self.state()
-        if self._done(state, txn):
+        if self._done(self.state(), txn):
             return None
-        version = state["version"] + 1
-        for part in self._write(df, version):
-            state["parts"].setdefault(part, []).append(version)
-        return self._finish(state, version, txn)
+        write_id, held = self._write(df)
+
+        def add(parts: dict) -> None:
+            for part in held:
+                parts.setdefault(part, []).append(write_id)
 
-    def replace(self, df: DataFrame, parts: Iterable[str] | None = None,
-                txn: tuple[str, int] | None = None) -> int | None:
+        return write_id if self._commit_change(add, txn) else None
+
+    def read_write(self, write_id: str) -> DataFrame:
+        """Only the rows one write brought."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/w={write_id}")
+
+    def replace(self, df: DataFrame, parts: Iterable[str] | None = None, seen: dict | None = None) -> str:
         """Put ``df`` in place of the named partitions (default: of everything).
 
-        Partitions ``df`` brings that are not among the named ones gain rows.
+        Partitions ``df`` brings that are not among the named ones gain rows. ``seen``
+        is the ``parts`` of the state ``df`` was computed from (default: the present
+        one): if a partition to be replaced has changed since, the write fails.
         """
-        state = self.state()
-        if self._done(state, txn):
-            return None
-        version = state["version"] + 1
-        gone = set(state["parts"]) if parts is None else set(parts)
-        state["parts"] = {p: v for p, v in state["parts"].items() if p not in gone}
-        for part in self._write(df, version):
-            state["parts"].setdefault(part, []).append(version)
-        return self._finish(state, version, txn)
+        before = self.state()["parts"] if seen is None else seen
+        gone = None if parts is None else set(parts)
+        write_id, held = self._write(df)
+
+        def swap(now: dict) -> None:
+            dropped = set(now) | set(before) if gone is None else gone
+            if any(now.get(p) != before.get(p) for p in dropped):
+                raise TableChanged(f"{self.path} was written meanwhile; run the write again")
+            for part in dropped:
+                now.pop(part, None)
+            for part in held:
+                now.setdefault(part, []).append(write_id)
+
+        self._commit_change(swap)
+        return write_id
 
     def compact(self, until: date | str | None = None) -> list[str]:
         """Rewrite partitions made up of several writes (up to day ``until``) as one; returns them.
 
         Many small appends, as from a stream, otherwise leave many small files.
         """
-        last = str(until or "9999-12-31")
-        many = [p for p, v in self.state()["parts"].items() if len(v) > 1 and (p <= last or p == NULL_PARTITION)]
+        seen, last = self.state()["parts"], str(until or "9999-12-31")
+        many = [p for p, v in seen.items() if len(v) > 1 and (p <= last or p == NULL_PARTITION)]
         if many:
-            self.replace(self.read(only=many), many)
+            self.replace(self.read(only=many), many, seen)
         return sorted(many)
 
     def drop_parts(self, parts: Iterable[str]) -> None:
         """Forget whole partitions (retention); their files are no longer read."""
-        state, gone = self.state(), set(parts)
-        state["parts"] = {p: v for p, v in state["parts"].items() if p not in gone}
-        self._finish(state, state["version"] + 1, None)
-
-    def _finish(self, state: dict, version: int, txn: tuple[str, int] | None) -> int:
-        state["version"] = version
-        if txn is not None:
-            state["txns"][txn[0]] = txn[1]
-        self._commit(state)
-        return version
+        gone = set(parts)
+
+        def forget(now: dict) -> None:
+            for part in gone:
+                now.pop(part, None)
+
+        self._commit_change(forget)
 
     def write(self, df: DataFrame, disposition: str = "append") -> None:
         """``append`` adds, ``truncate`` replaces, ``empty`` fails if rows exist."""

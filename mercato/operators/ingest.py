@@ -13,8 +13,8 @@ from mercato.sources.csv_files import bronze_from_folder, list_files
 from mercato.sources.jdbc import read_jdbc, rows_to_bronze
 
 
-def append_bronze(table: Table, rows: DataFrame, txn: tuple[str, int] | None = None) -> tuple[int | None, DataFrame]:
-    """Append the rows that have their required id; returns the version and the rejected rows."""
+def append_bronze(table: Table, rows: DataFrame, txn: tuple[str, int] | None = None) -> tuple[str | None, DataFrame]:
+    """Append the rows that have their required id; returns the write's id and the rejected rows."""
     ok, rejects = split_required(rows, [table.schema[0].name])
     return table.append(ok, txn), rejects
 
@@ -34,11 +34,11 @@ def csv_to_bronze(lake: Lakehouse, landing: str, entity: str, now=None, ledger:
     if not files:
         return
     rows = bronze_from_folder(lake.spark, landing, entity, now, [f["path"] for f in files], multiline=multiline)
-    version, _ = append_bronze(table, rows)
+    write_id, _ = append_bronze(table, rows)
     listed = lake.spark.createDataFrame(
         [(f["source"], f["file_size"], f["file_mtime"]) for f in files],
         "source string, file_size long, file_mtime timestamp")
-    counts = table.read_version(version).groupBy("source").agg(F.count("*").alias("rows"))
+    counts = table.read_write(write_id).groupBy("source").agg(F.count("*").alias("rows"))
     log.append(listed.join(counts, "source", "left").withColumn("ingested_at", instant(now)))
 
 

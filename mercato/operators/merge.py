@@ -159,6 +159,7 @@ def merge_into(lake: Lakehouse, name: str, since: datetime | str | None = None,
     that hold a matched row are written again.
     """
     spec, table = ENTITIES[name], lake.silver(name)
+    seen = table.state()["parts"]
     first = None if since is None else str(since)[:10]
     bronze = lake.bronze(name).read(first=first)
     if since is not None:
@@ -169,11 +170,11 @@ def merge_into(lake: Lakehouse, name: str, since: datetime | str | None = None,
     if spec.insert_only:
         table.append(insert_absent(table.read(), source, spec.keys))
     elif spec.partition is None:
-        table.replace(upsert(table.read(), source, spec.keys, spec.update, since is not None))
+        table.replace(upsert(table.read(), source, spec.keys, spec.update, since is not None), seen=seen)
     else:
         arriving, _ = split_required(parse_bronze(bronze, spec), spec.keys)
         days = _touched_days(table, arriving.select(*spec.keys).distinct(), spec)
-        table.replace(upsert(table.read(only=days), source, spec.keys, spec.update, since is not None), days)
+        table.replace(upsert(table.read(only=days), source, spec.keys, spec.update, since is not None), days, seen)
 
 
 def _touched_days(table: Table, arriving: DataFrame, spec: EntitySpec) -> list[str]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.functions.instants import instant
-from mercato.functions.json_fields import maybe_falsy, parse_object, truthy
+from mercato.functions.json_fields import field_text, is_object, maybe_falsy, parse_object, truthy
 
 STREAM_SOURCE = "streaming/pubsub"
 RAW_LIMIT = 10_000  # fixed value: characters of a bad message that are kept
@@ -39,14 +39,14 @@ def check_events(messages: DataFrame, value: str = "value", source: str = STREAM
     )
     parsed = parse_object(text, "_text", ["event_id", "event_type"], "_doc", maybe_falsy(F.col("_text")))
     both = truthy("_doc", "event_id") & truthy("_doc", "event_type")
-    error = F.when(F.col("_doc.text").isNull(), "invalid_json").when(~both, "missing_required_fields")
-    shown = [F.coalesce(F.col(f"_doc.text.{f}"), F.lit("None")) for f in ("event_id", "event_type")]
-    detail = F.when(F.col("_doc.text").isNull(), F.lit("not one JSON object in valid UTF-8")).otherwise(
+    error = F.when(~is_object("_doc"), "invalid_json").when(~both, "missing_required_fields")
+    shown = [F.coalesce(field_text("_doc", f), F.lit("None")) for f in ("event_id", "event_type")]
+    detail = F.when(~is_object("_doc"), F.lit("not one JSON object in valid UTF-8")).otherwise(
         F.concat(F.lit("event_id="), shown[0], F.lit(", event_type="), shown[1]))
     checked = parsed.select(
         *[c for c in messages.columns if c != value],
-        F.col("_doc.text.event_id").alias("event_id"),
-        F.col("_doc.text.event_type").alias("event_type"),
+        field_text("_doc", "event_id").alias("event_id"),
+        field_text("_doc", "event_type").alias("event_type"),
         F.trim(F.col("_text")).alias("raw_payload"),
         "raw_message",
         error.alias("error_type"),

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from mercato.sources import messages
 
 BAD = ["", "0", "x", "[1]", '"x"', "null", '{"a":1} xyz', "{'event_id':'a','event_type':'b'}",
        '{"event_id":"a","event_type":"b"} {"event_id":"c","event_type":"d"}',
-       '{"event_id":"a","event_type":"b"},{"event_id":"c","event_type":"d"}', '{"event_id":"a","event_type":"b"']
+       '{"event_id":"a","event_type":"b"},{"event_id":"c","event_type":"d"}', '{"event_id":"a","event_type":"b"}}',
+       '{"event_id":"a","event_type":"b"}}{', '{"event_id":"a","event_type":"b"},"event_id":"c"}', '{"event_id":"a","event_type":"b"']
 
 
 def check(spark, texts):
@@ -46,6 +48,24 @@ def test_against_full_decoder(spark):
     assert {t: got[t].error_type or "valid" for t in texts} == want
 
 
+def test_against_full_decoder_on_damaged_documents(spark):
+    rng, texts = random.Random(11), set()
+    values = ["a", "", 0, -0.0, 1.5, True, False, None, [], {}, [1], {"a": [0]}, "0", "{x", "[y", 'q"o\\t', "é"]
+    while len(texts) < 3000:
+        doc = {k: rng.choice(values) for k in ("event_id", "event_type", "x") if rng.random() < 0.9}
+        text = json.dumps(doc, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1]))
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            at = rng.randrange(len(text) + 1)
+            text = rng.choice([
+                text[:at] + text[at + 1:], text[:at] + rng.choice('{}[]",:0 \t\n1ae-.\'/') + text[at:],
+                text + rng.choice(["}", " ", " {}", ",{}", "null", "//c", "}{"])])
+        texts.add(text)
+    df = spark.createDataFrame([(t, t) for t in texts if t], "value string, sent string")
+    want = {r.value: r.verdict for r in messages.strict_check(df).collect()}
+    got = {r.sent: r.error_type or "valid" for r in messages.check_events(df).collect()}
+    assert {t: (got[t], want[t]) for t in want if got[t] != want[t]} == {}
+
+
 def test_missing_id_detail_and_last_duplicate_key(spark):
     got = check(spark, ['{"some_field":"some_value"}', '{"event_id":"a","event_type":"t","event_id":"z"}'])
     missing = got['{"some_field":"some_value"}']

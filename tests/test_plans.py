@@ -36,9 +36,9 @@ def test_no_products_no_python(spark, sf_dir, name):
 def test_json_is_parsed_once(spark):
     bronze = spark.createDataFrame([("{}",)], "raw_data string")
     kept = merge.parse_bronze(bronze, ENTITIES["orders"], "2026-01-01").where("order_id is not null and status = 'x'")
-    assert len(re.findall(r"r,StructType\(StructField\(\w+,StringType", optimized(kept))) == 1
+    assert len(re.findall(r"__doc,StructType\(StructField\(\w+,StringType", optimized(kept))) == 1
     sent = messages.check_events(spark.createDataFrame([("{}",)], "value string"))
-    assert len(re.findall(r"r,StructType\(StructField\(\w+,StringType", optimized(messages.valid_events(sent)))) == 1
+    assert len(re.findall(r"__doc,StructType\(StructField\(\w+,StringType", optimized(messages.valid_events(sent)))) == 1
 
 
 def test_latest_row_is_picked_before_the_shuffle(spark, sf_dir):
