@@ -39,9 +39,16 @@ def _plain_path(uri: Column) -> Column:
 
 
 def _tidy(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Empty fields are '' (the reader gives NULL); a short row keeps NULL for what it lacks."""
-    whole = F.col(CORRUPT).isNull()
-    values = [F.coalesce(F.col(c), F.when(whole, F.lit(""))).alias(c) for c in columns]
+    """Empty fields are '' (the reader gives NULL); a short row keeps NULL for what it lacks.
+
+    Rows of another length than the header come with their text, whose commas
+    outside quotes tell how many fields there were.
+    """
+    record = F.col(CORRUPT)
+    unquoted = F.regexp_replace(record, r'"([^"]|"")*"', "")
+    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    values = [F.coalesce(F.col(c), F.when(record.isNull() | (fields > i), F.lit(""))).alias(c)
+              for i, c in enumerate(columns)]
     return raw.select(*values, _plain_path(F.col("_metadata.file_path")).alias(PATH),
                       F.col("_metadata.file_block_start").alias(BLOCK))
 

@@ -1,3 +1,8 @@
+import csv
+import io
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,17 +129,37 @@ def landing(tmp_path, files):
 
 
 def test_csv_details(spark, tmp_path):
-    body = HEADER + '\nr1,p1,c1,5,"Great, really","two\nlines ""quoted"" é",2026-01-01T00:00:00Z\n\nr2,,c2,,,,\nr3,p3\n'
+    body = HEADER + '\nr1,p1,c1,5,"Great, really","two\nlines ""quoted"" é",2026-01-01T00:00:00Z\n\nr2,,c2,,,,\nr3,"p,3",,\n'
     root = landing(tmp_path, {"reviews/a b+c.csv": body, "reviews/.keep": "", "reviews/x.txt": "no", "other/y.csv": "a\n1\n"})
     got = csv_files.bronze_from_folder(spark, root, "reviews", "2026-02-01 00:00:00")
     docs = {r.record_id: r for r in got.select("*", F.from_json("raw_data", "title string, comment string, rating string").alias("d")).collect()}
     assert set(docs) == {"r1", "r2", "r3"}
     assert docs["r1"].d.title == "Great, really" and docs["r1"].d.comment == 'two\nlines "quoted" é'
-    assert docs["r2"].d.rating == "" and docs["r3"].d.rating is None
-    assert '"rating":null' in docs["r3"].raw_data
+    assert docs["r2"].d.rating == "" and docs["r3"].d.title is None
+    assert '"product_id":"p,3","customer_id":"","rating":"","title":null' in docs["r3"].raw_data
     assert docs["r1"].source == "gcs/reviews/a b+c.csv"
 
 
+def test_csv_against_the_csv_module(spark, tmp_path):
+    rng, columns, want = random.Random(5), csv_files.csv_columns(ENTITIES["reviews"]), {}
+    cells = ["", "a", " b ", "x,y", 'q"q', "two\nlines", '""', "é", "\\", '\\"', "null", "#c", "\t", "'s'"]
+    for f in range(12):
+        out = io.StringIO()
+        writer = csv.writer(out, quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]),
+                            lineterminator=rng.choice(["\n", "\r\n"]))
+        writer.writerow(columns)
+        for i in range(rng.randint(0, 12)):
+            width = len(columns) if rng.random() < 0.8 else rng.randint(1, len(columns))
+            writer.writerow([f"k{f}-{i}"] + [rng.choice(cells) for _ in range(width - 1)])
+            out.write(rng.choice(["", "", "\n"]))
+        path = tmp_path / "landing" / "reviews" / f"f{f}.csv"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(out.getvalue().encode())
+        want |= {r["review_id"]: dict(r) for r in csv.DictReader(io.StringIO(out.getvalue()))}
+    got = csv_files.bronze_from_folder(spark, str(tmp_path / "landing"), "reviews").collect()
+    assert {r.record_id: json.loads(r.raw_data) for r in got} == want
+
+
 def test_wrong_header_is_an_error(spark, tmp_path):
     root = landing(tmp_path, {"reviews/a.csv": "x,y\n1,2\n"})
     with pytest.raises(Exception):
