@@ -26,13 +26,12 @@ def _object(text: Column, fields: Iterable[str], kind: str) -> Column:
 
 def parse_object(df: DataFrame, json_column: str, fields: Iterable[str], into: str,
                  look_closer: Column | None = None) -> DataFrame:
-    """Add ``into``, to be read with ``is_object``, ``field_text``, ``scalar`` and ``truthy``.
+    """Add ``into``, the fields' texts; NULL where the document is not one JSON object.
 
-    ``into.text`` holds the fields as texts, which do not tell a nested value from a
-    string, or 0 from "0". For the rows where that can matter (``look_closer``;
-    default: those with a bracket inside) ``into.kind`` holds the fields as typed
-    values, else it is NULL. A generator holds the parse so that later filters
-    cannot copy it below.
+    Texts do not tell a nested value from a string, or 0 from "0". For the rows
+    where that can matter (``look_closer``; default: those with a bracket inside)
+    ``into`` + "_kind" holds the fields as typed values, else it is NULL. A
+    generator holds the parse so that later filters cannot copy it below.
     """
     fields = list(fields)
     text = F.col(json_column)
@@ -41,25 +40,17 @@ def parse_object(df: DataFrame, json_column: str, fields: Iterable[str], into: s
         look_closer = F.contains(inner, F.lit("{")) | F.contains(inner, F.lit("["))
     both = F.struct(_object(text, fields, "string").alias("text"),
                     F.when(look_closer, _object(text, fields, "variant")["__doc"]).alias("kind"))
-    return df.select("*", F.explode(F.array(both)).alias(into))
-
-
-def is_object(parsed: str) -> Column:
-    """Whether the document is one JSON object."""
-    part = F.col(f"{parsed}.text")
-    return part["__doc"].isNotNull() & part["__end"].isNotNull() & part["__bad"].isNull()
-
-
-def field_text(parsed: str, field: str) -> Column:
-    """Text of any field, nested ones as JSON; NULL if absent or not in a JSON object."""
-    return F.when(is_object(parsed), F.col(f"{parsed}.text.__doc")[field])
+    part = F.col("_parsed.text")
+    one_object = part["__end"].isNotNull() & part["__bad"].isNull()
+    return df.select("*", F.explode(F.array(both)).alias("_parsed")).select(
+        *df.columns, F.when(one_object, part["__doc"]).alias(into), F.col("_parsed.kind").alias(f"{into}_kind"))
 
 
 def scalar(parsed: str, field: str) -> Column:
     """Text of a scalar field; NULL if absent, JSON null, an object or an array."""
-    text, kinds = field_text(parsed, field), F.col(f"{parsed}.kind")
+    text, kinds = F.col(parsed)[field], F.col(f"{parsed}_kind")
     nested = F.schema_of_variant(kinds[field]).rlike("^(OBJECT|ARRAY)")
-    return F.when(kinds.isNull(), text).when(~nested, text)
+    return F.when(kinds.isNull() | ~nested, text)
 
 
 # Texts that a value counting as false may have.
@@ -76,7 +67,7 @@ def truthy(parsed: str, field: str) -> Column:
 
     Needs a parse that looked closer at the ``maybe_falsy`` documents.
     """
-    text, kinds = field_text(parsed, field), F.col(f"{parsed}.kind")
+    text, kinds = F.col(parsed)[field], F.col(f"{parsed}_kind")
     kind = F.schema_of_variant(kinds[field])
     empty = text.rlike(r"^(-?0(\.0*)?([eE][+-]?\d+)?|false|\[\s*\]|\{\s*\})$")
     return (

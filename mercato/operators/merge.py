@@ -26,13 +26,15 @@ def parse_bronze(bronze: DataFrame, spec: EntitySpec, now: Column | datetime | s
     """Typed Silver columns from raw JSON rows; bad values become NULL unless ``strict``."""
     fields = [f for _, f, _ in spec.fields]
     parsed = parse_object(bronze, spec.json_column, fields, "_doc")
-    columns = [F.col(c) for c in spec.carried]
-    columns += [cast_text(scalar("_doc", field), kind, strict).alias(name)
-                for name, field, kind in spec.fields]
-    columns.append(instant(now).alias("processed_at"))
+    kept = [F.col(c) for c in spec.carried]
     if lineage:
-        columns += [F.col(c).alias(f"_{c}") for c in LINEAGE]
-    return parsed.select(*columns)
+        kept += [F.col(c).alias(f"_{c}") for c in LINEAGE]
+    texts = parsed.select(*kept, *[scalar("_doc", field).alias(name) for name, field, _ in spec.fields])
+    return texts.select(
+        *spec.carried,
+        *[cast_text(F.col(name), kind, strict).alias(name) for name, _, kind in spec.fields],
+        instant(now).alias("processed_at"),
+        *([f"_{c}" for c in LINEAGE] if lineage else []))
 
 
 def _all_present(keys: Sequence[str]) -> Column:
