@@ -1,6 +1,6 @@
 """Import every module that registers queries of this subpackage."""
 
-from mercato.llm import dedup_queries  # noqa: F401
+from mercato.llm import dedup_queries, token_queries  # noqa: F401
 from mercato.llm.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
