@@ -24,9 +24,12 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _print(links: DataFrame) -> tuple:
-    row = links.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-    return row["n"], row["x"]
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none: then that is its component."""
+    ends = (links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .unionByName(links.select("v", F.lit(0), F.lit(1)).toDF("node", "up", "down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter(
+        "up > 1 or up = 1 and down = 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -34,14 +37,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Self-links, repeated links and either direction are allowed. Links of null are left out.
     """
-    links = (links.filter("a is not null and b is not null and a != b")
-             .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    links = saved(links, "links")
-    before = _print(links)
-    while before[0]:
+    links = saved(links.filter("a is not null and b is not null and a != b")
+                  .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    while not _stars(links):
         links = saved(_small_star(_large_star(links)), "links")
-        after = _print(links)
-        if after == before:
-            break
-        before = after
     return links.select(F.col("u").alias("node"), F.col("v").alias("component"))

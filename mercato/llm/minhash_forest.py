@@ -6,10 +6,11 @@ they are. A region (the documents below one prefix) that holds few documents is
 depth; a dense one is opened one value deeper, until it is small or the order ends. What is still dense at the last
 depth is a group of close copies: all of them are compared with the least one of the region, and only those that
 do not belong to it are compared further, where the triangle inequality of the Jaccard distance leaves a doubt.
+Pairs that are already joined up over others are never listed.
 
 All links are confirmed on full sets. Documents with equal sets stand behind one node before any of this, so copies
 are never paired. Chance of not meeting at similarity s with T trees at depth d: (1 - s^d)^T; for s = 0.75, 24 trees,
-that is 2e-6 at depth 3, 1e-4 at depth 4 (only in dense regions), 1.5e-3 at depth 5.
+that is 2e-6 at depth 3 and, in dense regions only, 1e-4 at depth 4.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from mercato.llm.words import STEP, WordNumbers, mixed, shingle_set, split_words
 SHINGLE = 5
 SIMILAR = (75, 100)
 TREES = 24
-DEPTHS = (3, 4, 5, 6)
+DEPTHS = (3, 4, 6)
 VALUES = TREES * DEPTHS[0]
 REGION = 16
 BLOCK = 256
@@ -88,41 +89,26 @@ def _prefix(depth: int) -> Column:
     return F.xxhash64("tree", F.transform(positions, lambda i: F.element_at("signature", i)))
 
 
-def _pairs_of(members: Column) -> Column:
-    """Each pair of a short sorted list once."""
-    return F.flatten(F.transform(members, lambda x, i: F.transform(
-        F.slice(members, i + F.lit(2), F.lit(REGION)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+def regions(nodes: DataFrame) -> DataFrame:
+    """nodes (node, signature) to the members (region, n, least, node) of each tree's regions of two or more.
 
-
-def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """nodes (node, signature) to pairs (a, b, hits), a < b, and the members (region, least, node) of dense regions.
-
-    Counting the members of a region is a grouping with map-side counts; its members are listed only if there are
-    few, so no region is ever gathered whole in a task.
+    A row's region is the shallowest that has at most REGION members, else the deepest. Members are counted by a
+    grouping with map-side counts, so no region is ever gathered in a task.
     """
     rows = nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    found, dense = [], None
+    out = None
     for depth in DEPTHS:
         keyed = rows.select("node", "tree", _prefix(depth).alias("region"))
-        sizes = saved(keyed.groupBy("region").agg(F.count("*").alias("n"), F.min("node").alias("least"),
-                                                  F.max("node").alias("last")).filter("n > 1"), "regions")
-        found.append(sizes.filter("n = 2").select(F.col("least").alias("a"), F.col("last").alias("b")))
-        members = saved(keyed.join(sizes.filter("n > 2").drop("last"), "region"), "members")
-        lists = (members.filter(F.col("n") <= REGION).groupBy("region")
-                 .agg(F.sort_array(F.collect_set("node")).alias("all")))
-        found.append(lists.select(F.inline(_pairs_of(F.col("all")))))
-        open_rows = members.filter(F.col("n") > REGION)
-        if open_rows.isEmpty():
-            break
-        if depth == DEPTHS[-1]:
-            dense = open_rows.select("region", "least", "node")
-            found.append(dense.select(F.col("least").alias("a"), F.col("node").alias("b")))
-        else:
-            rows = open_rows.select("node", "tree").join(nodes, "node")
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return pairs.filter("a < b").groupBy("a", "b").agg(F.count("*").alias("hits")), dense
+        sizes = keyed.groupBy("region").agg(F.count("*").alias("n"), F.min("node").alias("least"),
+                                            F.max("node").alias("last")).filter("least < last").drop("last")
+        members = saved(keyed.join(sizes, "region"), "members")
+        dense = members.filter(F.col("n") > REGION)
+        last = depth == DEPTHS[-1] or dense.isEmpty()
+        final = (members if last else members.filter(F.col("n") <= REGION)).select("region", "n", "least", "node")
+        out = final if out is None else out.unionByName(final)
+        if last:
+            return out
+        rows = dense.select("node", "tree").join(nodes, "node")
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,14 +137,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     A node with many partners meets them in blocks of about BLOCK, each with one copy of its text; a task holds one
     set and a batch at a time.
     """
-    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    placed = pairs.select("a", "b").join(degree, "a").select(
-        "a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"))
-    heads = degree.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("block"))
-    rows = (placed.join(texts.withColumnRenamed("node", "b"), "b").select("a", "block", F.lit(1).alias("role"), "b", "text")
-            .unionByName(heads.join(texts.withColumnRenamed("node", "a"), "a")
-                         .select("a", "block", F.lit(0).alias("role"), F.col("a").alias("b"), "text")))
-    dealt = rows.repartition("a", "block").sortWithinPartitions("a", "block", "role", "b")
+    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    partners = pairs.join(degree, "a").select(
+        "a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("role"), F.col("b").alias("node"))
+    heads = degree.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                          F.lit(0).alias("role"), F.col("a").alias("node"))
+    rows = partners.unionByName(heads).join(texts, "node").select("a", "block", "role", "node", "text")
+    dealt = rows.repartition("a", "block").sortWithinPartitions("a", "block", "role", "node")
     return (dealt.mapInArrow(_compare, "a long, b long, shared long, either long")
             .groupBy("a", "b").agg(F.max_by(F.struct("shared", "either"), F.col("shared") / F.col("either")).alias("s"))
             .select("a", "b", "s.shared", "s.either"))
@@ -168,73 +153,95 @@ def _linked() -> Column:
     return F.col("shared") * SIMILAR[1] >= F.col("either") * SIMILAR[0]
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Those pairs whose ends are in different components so far."""
-    for end in ("a", "b"):
-        own = labels.select(F.col("node").alias(end), F.col("component").alias(f"in_{end}"))
-        pairs = pairs.join(own, end, "left").withColumn(f"in_{end}", F.coalesce(f"in_{end}", end))
-    return pairs.filter("in_a != in_b").drop("in_a", "in_b")
+def _nearest(members: DataFrame) -> DataFrame:
+    """Of each node's regions' least nodes the one it shares most regions with."""
+    shared = members.filter("node != least").groupBy("node", "least").agg(F.count("*").alias("hits"))
+    return shared.groupBy("node").agg(F.max_by("least", F.struct("hits", -F.col("least"))).alias("a")).select(
+        "a", F.col("node").alias("b"))
+
+
+def _parted(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the regions that still hold more than one component, with their component as `part`."""
+    rows = members.join(labels, "node", "left").select("region", "n", "least", "node", F.coalesce("component", "node").alias("part"))
+    mixed = rows.groupBy("region").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("region")
+    return rows.join(mixed, "region")
+
+
+def _pairs_of(own: Column) -> Column:
+    """Of a short sorted list of (node, part) each pair whose parts differ."""
+    pairs = F.flatten(F.transform(own, lambda x, i: F.transform(
+        F.slice(own, i + F.lit(2), F.lit(REGION)),
+        lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b"), (x["part"] != y["part"]).alias("apart")))))
+    return F.filter(pairs, lambda p: p["apart"])
+
+
+def _open_pairs(parted: DataFrame) -> DataFrame:
+    """Pairs between components: all of a small region, those with the least node of a dense one."""
+    small = (parted.filter(F.col("n") <= REGION).groupBy("region")
+             .agg(F.sort_array(F.collect_set(F.struct("node", "part"))).alias("own"))
+             .select(F.inline(_pairs_of(F.col("own")))).select("a", "b"))
+    dense = parted.filter((F.col("n") > REGION) & (F.col("node") != F.col("least"))).select(
+        F.col("least").alias("a"), F.col("node").alias("b"))
+    return small.unionByName(dense).distinct()
 
 
-def _doubtful(dense: DataFrame, labels: DataFrame, seen: DataFrame) -> DataFrame:
-    """Pairs of dense regions that may still be linked.
+def _doubtful(parted: DataFrame, seen: DataFrame) -> DataFrame:
+    """Pairs of dense regions that may be linked though neither is linked with the region's least node.
 
-    Members outside the component of the region's least document, against the members of other components. With
-    distances x and y from the least document, two members are at least |x - y| apart, so others cannot be linked.
+    Members outside the component of that node, against members of other components. With distances x and y from
+    that node two members are at least |x - y| apart, so only those with a small difference are left to compare.
     """
-    far = (1 - F.col("shared") / F.col("either")).alias("far")
-    own = (dense.filter("node != least").join(labels, "node", "left")
-           .join(labels.select(F.col("node").alias("least"), F.col("component").alias("home")), "least", "left")
-           .join(seen.select(F.col("a").alias("least"), F.col("b").alias("node"), far), ["least", "node"], "left")
-           .select("region", "node", F.coalesce("component", "node").alias("part"),
-                   F.coalesce("home", "least").alias("home"), "far"))
-    own = saved(own, "dense")
-    outside = own.filter("part != home").select("region", F.col("node").alias("x"), F.col("part").alias("x_part"),
-                                                F.col("far").alias("x_far"))
+    far = seen.select(F.col("a").alias("least"), F.col("b").alias("node"), (1 - F.col("shared") / F.col("either")).alias("far"))
+    rows = parted.filter(F.col("n") > REGION).join(far, ["least", "node"], "left")
+    home = rows.filter("node = least").select("region", F.col("part").alias("home"))
+    rows = saved(rows.filter("node != least").join(home, "region"), "dense")
+    outside = rows.filter("part != home").select("region", F.col("node").alias("x"), F.col("part").alias("x_part"),
+                                                 F.col("far").alias("x_far"))
     apart = F.coalesce(F.abs(F.col("x_far") - F.col("far")), F.lit(0.0))
-    met = outside.join(own, "region").filter((F.col("x_part") != F.col("part"))
-                                             & (apart <= 1 - SIMILAR[0] / SIMILAR[1] + 1e-9))
+    met = outside.join(rows, "region").filter((F.col("x_part") != F.col("part"))
+                                              & (apart <= 1 - SIMILAR[0] / SIMILAR[1] + 1e-9))
     return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
+def linked_nodes(nodes: DataFrame, texts_of) -> DataFrame:
+    """(node, component) of the nodes that are linked to a lesser one. texts_of: ids (node) to (node, text).
+
+    First every node is compared with one likely partner, which joins up most groups. Then only pairs between what is
+    still apart are listed and compared, and last the doubtful ones of dense regions.
+    """
+    members = regions(nodes)
+    texts = saved(texts_of(members.select("node").distinct()), "texts")
+    seen = saved(confirmed(_nearest(members), texts), "confirmed")
+    labels = components(seen.filter(_linked()))
+    for more in (lambda parted: _open_pairs(parted), lambda parted: _doubtful(parted, seen)):
+        parted = saved(_parted(members, labels), "parted")
+        if parted.isEmpty():
+            break
+        pairs = saved(more(parted).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        seen = seen.unionByName(saved(confirmed(pairs, texts), "confirmed"))
+        labels = components(seen.filter(_linked()))
+        members = members.filter(F.col("n") > REGION)
+    return labels
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
     Sets of distinct five-word shingles, linked at a Jaccard similarity of 0.75 or more; component_id is the least id
     reached over links, kept tells that it is the document's own. Texts without a word (null, empty, blank) have no
-    shingles and are linked with nothing. Texts of under five words have one shingle. Rows that share an id are one
-    node, linked by any of their texts; a null id is linked with nothing, has a null component and is kept. Other
-    columns are ignored, whatever their names.
+    shingles and are linked with nothing. Texts of under five words have one shingle. Rows that share an id but not
+    the text are judged each by its own text. A null id is linked with nothing, has a null component and is kept.
+    Other columns are ignored, whatever their names.
     """
     sketch = saved(sketches(docs, id_col, text_col), "sketches")
     real = sketch.filter("n_shingles > 0 and doc_id is not null")
     heads = saved(real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node")), "heads")
     nodes = (real.join(heads.select("set_a", "set_b", F.col("node").alias("doc_id")), ["set_a", "set_b", "doc_id"], "left_semi")
              .select(F.col("doc_id").alias("node"), "signature"))
-    pairs, dense = candidates(nodes)
-    pairs = saved(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = saved(docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
-                  .join(ids, "node", "left_semi"), "texts")
-
-    # First the best neighbour of every node, which already joins up most groups; then what is left between groups.
-    ends = pairs.select(F.col("a").alias("node"), "hits", F.col("b").alias("other")).unionByName(
-        pairs.select(F.col("b").alias("node"), "hits", F.col("a").alias("other")))
-    best = ends.groupBy("node").agg(F.max_by("other", F.struct("hits", -F.col("other"))).alias("other")).select(
-        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    if dense is not None:
-        best = best.unionByName(dense.filter("least != node").select(F.col("least").alias("a"), F.col("node").alias("b")))
-    seen = saved(confirmed(best.distinct(), texts), "confirmed")
-    labels = components(seen.filter(_linked()))
-    rest = _across(pairs.select("a", "b").join(seen, ["a", "b"], "left_anti"), labels)
-    seen = seen.unionByName(saved(confirmed(saved(rest, "pairs"), texts), "confirmed"))
-    labels = components(seen.filter(_linked()))
-    if dense is not None:
-        rest = saved(_doubtful(dense, labels, seen).join(seen, ["a", "b"], "left_anti"), "pairs")
-        if not rest.isEmpty():
-            seen = seen.unionByName(saved(confirmed(rest, texts), "confirmed"))
-            labels = components(seen.filter(_linked()))
-
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
+    labels = linked_nodes(saved(nodes, "nodes"), lambda ids: texts.join(ids, "node", "left_semi"))
     own = heads.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("component", "node").alias("component"))
     by_set = sketch.drop("signature").join(own, ["set_a", "set_b"], "left")
     part = F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id"))
