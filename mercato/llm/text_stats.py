@@ -76,16 +76,19 @@ def _table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and COUNTS of every row; null text counts as empty."""
+def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, COUNTS and, as strings group_0, group_1 ..., the columns `groups` of every row; null text counts as empty."""
+    names = [f"group_{i}" for i in range(len(groups))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([counts(t.as_py())[0] for t in batch.column(1)], np.int64).reshape(-1, len(COUNTS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(rows[:, i]) for i in range(len(COUNTS))]],
-                                             ["doc_id", *COUNTS])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(rows[:, i]) for i in range(len(COUNTS))],
+                                              *batch.columns[2:]], ["doc_id", *COUNTS, *names])
 
-    return _table(docs, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      *[F.col(g).cast("string").alias(n) for g, n in zip(groups, names)])
+    return own.mapInArrow(run, "doc_id long, " + ", ".join([f"{c} long" for c in COUNTS] + [f"{n} string" for n in names]))
 
 
 def shaped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
