@@ -1,20 +1,38 @@
-"""From raw documents to token ids, stage by stage; every stage is written as Parquet before the next one reads it."""
+"""From raw documents to token ids, stage by stage; every stage is written as Parquet before the next one reads it.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows of docs. The first four return the columns of docs. Null and
+empty texts, ties and repeated rows are handled as each operator states. A row without an id can be dropped by the first
+stage only, since the later ones name documents by id; rows of one id are dropped together by the third.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mercato.llm.byte_bpe import ByteBpe, encoded
+from mercato.llm.decontaminate import contaminated
 from mercato.llm.minhash_forest import near_duplicates
+from mercato.llm.quality import good_documents
+from mercato.llm.secrets import redacted, scan
 from mercato.llm.store import saved, table
+from mercato.llm.token_queries import BYTE_FILE, tokenizer_path
+from mercato.llm.word_tokens import vocabulary
+from mercato.session import use_engine_conf
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id stays, once.
 
-    Rows without an id stay; texts without a word are in no group.
+    Rows without an id stay; texts without a word are in no group, of their repeated rows one stays as well.
     """
     judged = near_duplicates(docs)
-    gone = judged.filter("not kept").select("doc_id").distinct()
+    gone = saved(judged.filter("not kept").select("doc_id").distinct(), "gone")
     repeated = saved(judged.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"), "repeated")
     kept = docs.join(gone, "doc_id", "left_anti")
     if repeated.isEmpty():
@@ -23,13 +41,39 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
 
 
-STAGES = [("near_dedup", one_of_each_group)]
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    leaks = contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(saved(leaks.select("doc_id").distinct(), "leaks"), "doc_id", "left_anti")
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text; the document stays, with the length of its new text."""
+    findings = saved(scan(docs).filter("secret"), "secrets")
+    masked = redacted(docs, findings)
+    return masked.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
+                             .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids of every document that is left."""
+    made = encoded(docs, ByteBpe(vocabulary(tokenizer_path(BYTE_FILE))))
+    return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_dedup", one_of_each_group),
+    ("decontaminate", without_benchmark),
+    ("secrets", without_secrets),
+    ("bpe", token_ids),
+]
 
-ORACLE_SQL = None  # trained models and signatures are not SQL; tests compare with a brute-force version
+ORACLE_SQL = None  # trained models are not SQL; tests/llm compares run() with a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(use_engine_conf(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
