@@ -15,7 +15,7 @@ BINS = 64
 TREES = 80
 DEPTH = 4
 RATE = 0.15
-LEAST_WEIGHT = 5.0
+LEAST_WEIGHT = 1.0
 L2 = 2.0
 
 

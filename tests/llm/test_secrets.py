@@ -1,0 +1,80 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from mercato.llm.secret_queries import secret_scan
+from mercato.llm.secrets import MASK, candidates, redacted, scan, with_features
+
+LABELS = "doc_id long, start int, value string, before string, after string, label int"
+
+
+def documents_with_findings(rnd):
+    """Secrets assigned to credential words, and numbers, hosts, paths and commit hashes."""
+    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    mixed = lambda n: "".join(rnd.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(n))
+    rows = []
+    for i in range(240):
+        kind = i % 6
+        value = [hexes(40), mixed(32) + "7", str(rnd.randrange(10 ** 15, 10 ** 16)), f"/usr/share/{rnd.randrange(99)}/index.html",
+                 f"host{rnd.randrange(999)}.mail.example.com", hexes(40)][kind]
+        lead = ['token = "', "api_key: ", "card number ", "see file ", "write to someone@", "commit "][kind]
+        rows.append((i, f"some words before {lead}{value}\" and a few after", value, kind < 2))
+    return rows
+
+
+def test_forest_tells_secrets_from_the_rest(spark, documents):
+    rows = documents_with_findings(random.Random(7))
+    docs = documents([(i, t, "en", "a") for i, t, _, _ in rows])
+    got = {r["doc_id"]: r for r in scan(docs).collect()}
+    assert all(got[i]["value"] == v and t[got[i]["start"]:got[i]["stop"]] == v for i, t, v, _ in rows)
+    assert sum(got[i]["secret"] == secret for i, _, _, secret in rows) >= 0.98 * len(rows)
+
+
+def test_reviewed_findings_are_learnt_from(spark, documents):
+    """A reviewer who calls commit hashes secret and tokens harmless is followed."""
+    rows = documents_with_findings(random.Random(8))
+    docs = documents([(i, t, "en", "a") for i, t, _, _ in rows])
+    found = candidates(docs).collect()
+    reviewed = spark.createDataFrame([(r["doc_id"], r["start"], r["value"], r["before"], r["after"], int(r["doc_id"] % 6 == 5))
+                                      for r in found if r["doc_id"] < 120], LABELS)
+    got = {r["doc_id"]: r["secret"] for r in scan(docs, reviewed).collect()}
+    assert sum(got[i] == (i % 6 == 5) for i in range(240)) >= 0.98 * 240
+
+
+def test_spans_of_every_candidate(documents):
+    text = "x=1 AAAA1111BBBB2222CCCC, secret:'s3cr3tpw' then pwd=12345678; end 9999888877776666.55 token=\n\"abcdefgh\" ü1234567890abcdefZ"
+    got = sorted((r["start"], r["value"]) for r in candidates(documents([(1, text, "en", "a")])).collect())
+    assert [v for _, v in got] == ["AAAA1111BBBB2222CCCC", "s3cr3tpw", "12345678;", "9999888877776666.55", "abcdefgh", "1234567890abcdefZ"]
+    assert all(text[s:s + len(v)] == v for s, v in got)
+
+
+def test_query_finds_planted_tokens(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    planted = {(i, hashlib.sha256(m.encode()).hexdigest()) for i, t in texts.items() for m in re.findall(r'(?i)token = "([0-9a-f]{40})"', t)}
+    rows = secret_scan(spark, sf_dir).collect()
+    assert planted and {(r["doc_id"], r["value_sha256"]) for r in rows if r["secret"]} == planted
+    assert any(not r["secret"] for r in rows)
+
+
+def test_redaction(documents):
+    rows = documents_with_findings(random.Random(9))
+    docs = documents([(i, t, "en", "a") for i, t, _, _ in rows] + [(999, "nothing to hide", "en", "a"), (None, None, None, None)])
+    findings = scan(docs)
+    out = {r["doc_id"]: r for r in redacted(docs, findings).collect()}
+    assert len(out) == len(rows) + 2 and redacted(docs, findings).columns == docs.columns
+    assert out[999]["text"] == "nothing to hide" and out[None]["text"] is None
+    for r in findings.collect():
+        assert (MASK in out[r["doc_id"]]["text"]) == r["secret"] and (r["value"] in out[r["doc_id"]]["text"]) != r["secret"]
+
+
+def test_awkward_rows(spark, awkward, nothing):
+    assert scan(awkward).filter(F.col("doc_id").isin(1, 2, 3)).count() == 0
+    assert scan(nothing).count() == 0
+    odd = spark.createDataFrame([(None, "token=aaaa1111bbbb2222cccc")], "doc_id long, text string").withColumn("value", F.lit(1))
+    got = scan(odd).collect()
+    assert [(r["doc_id"], r["value"], r["secret"]) for r in got] == [(None, "aaaa1111bbbb2222cccc", True)]
+    assert redacted(odd, scan(odd)).collect()[0]["text"] == f"token={MASK}"
+    assert with_features(candidates(nothing)).count() == 0
