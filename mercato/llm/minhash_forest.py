@@ -3,10 +3,10 @@
 Every document's set of word shingles gets a signature of minima. Each tree of the forest reads the signature in an
 order of its own; documents with a common prefix of that order are neighbours, and the longer the prefix the closer
 they are. A region (the documents below one prefix) that holds few documents is compared completely at the shallowest
-depth; a dense one is opened one value deeper, until it is small or the order ends. What is still dense at the last
-depth is a group of close copies: all of them are compared with the least one of the region, and only those that
-do not belong to it are compared further, where the triangle inequality of the Jaccard distance leaves a doubt.
-Pairs that are already joined up over others are never listed.
+depth; a dense one is opened deeper, until it is small or the order ends. What is still dense at the first
+useful depth is a group of close copies: nearly all of them join up over one likely partner each, and those that do not are
+compared with all others in blocks, as products of 0/1 matrices, which give links only and never a list of pairs.
+Pairs that are already joined up over others are never listed either.
 
 All links are confirmed on full sets. Documents with equal sets stand behind one node before any of this, so copies
 are never paired. Chance of not meeting at similarity s with T trees at depth d: (1 - s^d)^T; for s = 0.75, 24 trees,
@@ -30,19 +30,22 @@ from mercato.llm.words import STEP, WordNumbers, mixed, shingle_set, split_words
 SHINGLE = 5
 SIMILAR = (75, 100)
 TREES = 24
-DEPTHS = (3, 4, 6)
-VALUES = TREES * DEPTHS[0]
-REGION = 16
-BLOCK = 256
+REGION, DENSE = 16, 4096
+#: (values read, members up to which a region of this depth stays closed).
+DEPTHS = ((3, REGION), (4, DENSE), (6, DENSE), (9, DENSE), (12, None))
+FIRST, LAST = DEPTHS[0][0], DEPTHS[-1][0]
+VALUES = TREES * FIRST
+BLOCK = 512
+COLUMNS = 4096
 MOST = np.uint32(0xFFFFFFFF)
 
 
 def orders() -> list[list[int]]:
     """One order of signature positions for each tree: its own first three, then such as other trees begin with."""
-    first, out = DEPTHS[0], []
+    out = []
     for tree in range(TREES):
-        own = list(range(first * tree, first * tree + first))
-        later = [(first * (tree + 5 * step) + step % first) % VALUES for step in range(1, DEPTHS[-1] - first + 1)]
+        own = list(range(FIRST * tree, FIRST * tree + FIRST))
+        later = [(FIRST * (tree + 5 * step) + step % FIRST) % VALUES for step in range(1, LAST - FIRST + 1)]
         out.append(own + later)
     return out
 
@@ -92,19 +95,19 @@ def _prefix(depth: int) -> Column:
 def regions(nodes: DataFrame) -> DataFrame:
     """nodes (node, signature) to the members (region, n, least, node) of each tree's regions of two or more.
 
-    A row's region is the shallowest that has at most REGION members, else the deepest. Members are counted by a
-    grouping with map-side counts, so no region is ever gathered in a task.
+    A row's region is the shallowest that has as few members as DEPTHS allows, else the deepest. Members are counted by
+    a grouping with map-side counts, so no region is ever gathered in a task.
     """
     rows = nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     out = None
-    for depth in DEPTHS:
+    for depth, most in DEPTHS:
         keyed = rows.select("node", "tree", _prefix(depth).alias("region"))
         sizes = keyed.groupBy("region").agg(F.count("*").alias("n"), F.min("node").alias("least"),
                                             F.max("node").alias("last")).filter("least < last").drop("last")
         members = saved(keyed.join(sizes, "region"), "members")
-        dense = members.filter(F.col("n") > REGION)
-        last = depth == DEPTHS[-1] or dense.isEmpty()
-        final = (members if last else members.filter(F.col("n") <= REGION)).select("region", "n", "least", "node")
+        dense = None if most is None else members.filter(F.col("n") > most)
+        last = dense is None or dense.isEmpty()
+        final = (members if last else members.filter(F.col("n") <= most)).select("region", "n", "least", "node")
         out = final if out is None else out.unionByName(final)
         if last:
             return out
@@ -176,54 +179,108 @@ def _pairs_of(own: Column) -> Column:
 
 
 def _open_pairs(parted: DataFrame) -> DataFrame:
-    """Pairs between components: all of a small region, those with the least node of a dense one."""
-    small = (parted.filter(F.col("n") <= REGION).groupBy("region")
-             .agg(F.sort_array(F.collect_set(F.struct("node", "part"))).alias("own"))
-             .select(F.inline(_pairs_of(F.col("own")))).select("a", "b"))
-    dense = parted.filter((F.col("n") > REGION) & (F.col("node") != F.col("least"))).select(
-        F.col("least").alias("a"), F.col("node").alias("b"))
-    return small.unionByName(dense).distinct()
+    """Of small regions all pairs between components."""
+    return (parted.filter(F.col("n") <= REGION).groupBy("region")
+            .agg(F.sort_array(F.collect_set(F.struct("node", "part"))).alias("own"))
+            .select(F.inline(_pairs_of(F.col("own")))).select("a", "b").distinct())
+
+
+def _matrix(sets: list[np.ndarray], known: np.ndarray) -> np.ndarray:
+    """0/1 rows: which of the known shingles each set holds."""
+    out = np.zeros((len(sets), len(known)), np.float32)
+    for row, own in zip(out, sets):
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        row[at[known[at] == own]] = 1
+    return out
+
+
+def linked_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Positions of the pairs of sets that are linked: exact sizes of all intersections, some thousand shingles at a time."""
+    if not left or not right:
+        return []
+    known = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(known), COLUMNS):
+        part = known[at:at + COLUMNS]
+        shared += _matrix(left, part) @ _matrix(right, part).T
+    either = np.array([[len(x)] for x in left]) + np.array([len(x) for x in right]) - shared
+    return list(zip(*(side.tolist() for side in np.nonzero(shared * SIMILAR[1] >= either * SIMILAR[0]))))
 
 
-def _doubtful(parted: DataFrame, seen: DataFrame) -> DataFrame:
-    """Pairs of dense regions that may be linked though neither is linked with the region's least node.
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (region, i, j, side): a block of members outside the main component, then one of any members.
 
-    Members outside the component of that node, against members of other components. With distances x and y from
-    that node two members are at least |x - y| apart, so only those with a small difference are left to compare.
+    Per outside member and component one link is given. Two blocks are held at a time.
+    """
+    numbers, now, sides, found = WordNumbers(), None, ([], []), set()
+
+    def close() -> None:
+        best: dict[tuple[int, int], int] = {}
+        sets = [[x[2] for x in side] for side in sides]
+        for x, y in linked_pairs(*sets):
+            (a, a_part, _), (b, b_part, _) = sides[0][x], sides[1][y]
+            if a_part != b_part:
+                best.setdefault((a, b_part), b)
+        found.update((min(a, b), max(a, b)) for (a, _), b in best.items())
+
+    def give() -> pa.RecordBatch:
+        columns = list(zip(*sorted(found))) or [[], []]
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in range(6))))
+        for (region, i, j, side, node, part), text in zip(keys, batch.column(6)):
+            if now != (region, i, j):
+                close()
+                now, sides = (region, i, j), ([], [])
+            sides[side].append((node, part, shingle_set(split_words(text.as_py()), numbers, SHINGLE)))
+        yield give()
+    close()
+    yield give()
+
+
+def _dense_links(parted: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between components inside dense regions.
+
+    The members outside the component of the region's least node meet all its members, block by block. A block pair is
+    one unit of work of bounded size, however large the region.
     """
-    far = seen.select(F.col("a").alias("least"), F.col("b").alias("node"), (1 - F.col("shared") / F.col("either")).alias("far"))
-    rows = parted.filter(F.col("n") > REGION).join(far, ["least", "node"], "left")
+    rows = parted.filter(F.col("n") > REGION)
     home = rows.filter("node = least").select("region", F.col("part").alias("home"))
-    rows = saved(rows.filter("node != least").join(home, "region"), "dense")
-    outside = rows.filter("part != home").select("region", F.col("node").alias("x"), F.col("part").alias("x_part"),
-                                                 F.col("far").alias("x_far"))
-    apart = F.coalesce(F.abs(F.col("x_far") - F.col("far")), F.lit(0.0))
-    met = outside.join(rows, "region").filter((F.col("x_part") != F.col("part"))
-                                              & (apart <= 1 - SIMILAR[0] / SIMILAR[1] + 1e-9))
-    return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = saved(rows.join(home, "region").select(
+        "region", "node", "part", "home", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own")), "dense")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    outside = rows.filter("part != home")
+    first = outside.select("region", F.col("own").alias("i"), each.alias("j"), F.lit(0).alias("side"), "node", "part")
+    any_member = rows.select("region", each.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "node", "part").join(
+        outside.select("region", F.col("own").alias("i")).distinct(), ["region", "i"], "left_semi")
+    met = first.unionByName(any_member.select(first.columns)).join(texts, "node").select(
+        "region", "i", "j", "side", "node", "part", "text")
+    dealt = met.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "side", "node")
+    return dealt.mapInArrow(_block_links, "a long, b long").distinct()
 
 
 def linked_nodes(nodes: DataFrame, texts_of) -> DataFrame:
     """(node, component) of the nodes that are linked to a lesser one. texts_of: ids (node) to (node, text).
 
-    First every node is compared with one likely partner, which joins up most groups. Then only pairs between what is
-    still apart are listed and compared, and last the doubtful ones of dense regions.
+    First every node is compared with one likely partner, which joins up most groups. Then only what is still apart is
+    compared: pairs of small regions, blocks of dense ones.
     """
     members = regions(nodes)
     texts = saved(texts_of(members.select("node").distinct()), "texts")
     seen = saved(confirmed(_nearest(members), texts), "confirmed")
-    labels = components(seen.filter(_linked()))
-    for more in (lambda parted: _open_pairs(parted), lambda parted: _doubtful(parted, seen)):
-        parted = saved(_parted(members, labels), "parted")
-        if parted.isEmpty():
-            break
-        pairs = saved(more(parted).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        seen = seen.unionByName(saved(confirmed(pairs, texts), "confirmed"))
-        labels = components(seen.filter(_linked()))
-        members = members.filter(F.col("n") > REGION)
-    return labels
+    links = seen.filter(_linked()).select("a", "b")
+    labels = components(links)
+    parted = saved(_parted(members, labels), "parted")
+    if parted.isEmpty():
+        return labels
+    pairs = saved(_open_pairs(parted).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    more = confirmed(pairs, texts).filter(_linked()).select("a", "b")
+    if not parted.filter(F.col("n") > REGION).isEmpty():
+        more = more.unionByName(_dense_links(parted, texts))
+    return components(links.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,10 +1,11 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from mercato.llm import minhash_forest
-from mercato.llm.minhash_forest import near_duplicates
+from mercato.llm.minhash_forest import linked_pairs, near_duplicates
 
 from test_links_and_words import brute_components
 
@@ -52,6 +53,8 @@ def test_matches_all_pairs_on_a_table(spark, sf_dir):
 def test_large_groups_of_copies_and_of_close_copies(spark, documents, monkeypatch):
     """Dense regions: hundreds of close copies of one text, exact copies of another, and a passage that many texts share."""
     monkeypatch.setattr(minhash_forest, "REGION", 6)
+    monkeypatch.setattr(minhash_forest, "DEPTHS", ((3, 6), (4, 6), (6, 40), (9, 40), (12, None)))
+    monkeypatch.setattr(minhash_forest, "BLOCK", 16)
     rnd = random.Random(5)
     base, other, shared = ([f"w{rnd.randrange(5000)}" for _ in range(n)] for n in (200, 120, 60))
     rows = [(i, edited(rnd, base, rnd.choice([0.002, 0.01, 0.02, 0.04]))) for i in range(1000, 1150)]
@@ -74,7 +77,15 @@ def test_awkward_rows(awkward, nothing):
     assert near_duplicates(nothing).count() == 0
 
 
-@pytest.mark.parametrize("depth", [1, 3, 6])
+def test_block_products_give_all_links():
+    rnd = np.random.default_rng(4)
+    sets = [np.unique(rnd.choice(60, rnd.integers(1, 50))).astype(np.uint64) for _ in range(80)]
+    want = [(i, j) for i, a in enumerate(sets[:30]) for j, b in enumerate(sets[30:])
+            if 4 * len(np.intersect1d(a, b)) >= 3 * len(np.union1d(a, b))]
+    assert sorted(linked_pairs(sets[:30], sets[30:])) == want and linked_pairs([], sets) == []
+
+
+@pytest.mark.parametrize("depth", [1, 3, 12])
 def test_trees_read_distinct_values_first(depth):
     orders = minhash_forest.orders()
     first = [tuple(o[:3]) for o in orders]
