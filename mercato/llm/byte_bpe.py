@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -21,10 +22,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.kept import kept
+
 # Fixed value: the public byte-level pattern for words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT = 1 << 20
+KEPT = 1_000_000
 SHORT = 32
+BITS = 32
+MASK = (1 << BITS) - 1
+NONE = 1 << 62
 
 
 def byte_letters() -> dict[str, int]:
@@ -46,6 +52,10 @@ class ByteBpe:
     def __getstate__(self):
         return {"tokenizer": self.tokenizer}
 
+    def here(self) -> ByteBpe:
+        """The one of this process, with the fragments it already knows."""
+        return kept("bytes", self.tokenizer, lambda: self)
+
     @cached_property
     def parts(self) -> dict:
         return json.loads(self.tokenizer)
@@ -63,11 +73,11 @@ class ByteBpe:
         return [by_byte[b] for b in range(256)]
 
     @cached_property
-    def merges(self) -> dict[tuple[int, int], tuple[int, int]]:
-        """(left id, right id) to (rank, id of both together)."""
+    def merges(self) -> dict[int, int]:
+        """Left id and right id, in one number, to rank and id of both together, in one number that sorts by rank."""
         vocab, out = self.parts["model"]["vocab"], {}
         for rank, (left, right) in enumerate(self.parts["model"]["merges"]):
-            out.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
+            out.setdefault(vocab[left] << BITS | vocab[right], rank << BITS | vocab[left + right])
         return out
 
     @cached_property
@@ -89,6 +99,10 @@ class ByteBpe:
             out[own[:-1], own[1:]] = False
         return out
 
+    @cached_property
+    def never_pairs(self) -> bytes:
+        return self.never.astype(np.uint8).tobytes()
+
     @cached_property
     def before_space(self) -> np.ndarray:
         """Certain cuts between another byte and a white-space byte."""
@@ -104,19 +118,23 @@ class ByteBpe:
         return {}
 
     @cached_property
-    def pieces(self) -> dict[bytes, list[int]]:
+    def pieces(self) -> dict[bytes, bytes]:
         return {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a piece: the pair of least rank is joined, leftmost first, until no pair is in the vocabulary."""
-        ids, merges = [self.byte_ids[b] for b in piece], self.merges
+        ids, get = [self.byte_ids[b] for b in piece], self.merges.get
         if len(ids) > SHORT:
             return self._merge_long(ids)
-        while len(ids) > 1:
-            best, at = min((merges.get(pair, (1 << 40, 0)), i) for i, pair in enumerate(zip(ids, ids[1:])))
-            if best[0] == 1 << 40:
-                break
-            ids[at:at + 2] = [best[1]]
+        found = [get(a << BITS | b, NONE) for a, b in zip(ids, ids[1:])]
+        while found and (best := min(found)) != NONE:
+            at = found.index(best)
+            ids[at:at + 2] = [best & MASK]
+            del found[at]
+            if at:
+                found[at - 1] = get(ids[at - 1] << BITS | ids[at], NONE)
+            if at < len(found):
+                found[at] = get(ids[at] << BITS | ids[at + 1], NONE)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -126,8 +144,8 @@ class ByteBpe:
 
         def push(i: int) -> None:
             j = right[i]
-            if j < n and (found := merges.get((ids[i], ids[j]))):
-                heapq.heappush(heap, (found[0], i, ids[i], ids[j], found[1]))
+            if j < n and (found := merges.get(ids[i] << BITS | ids[j])) is not None:
+                heapq.heappush(heap, (found >> BITS, i, ids[i], ids[j], found & MASK))
 
         for i in range(n - 1):
             push(i)
@@ -144,21 +162,35 @@ class ByteBpe:
                 push(left[i])
         return [i for i in ids if i >= 0]
 
-    def _new_fragment(self, fragment: bytes) -> bytes:
-        ids: list[int] = []
-        for word in self.words.findall(fragment.decode("utf-8")):
-            data = word.encode("utf-8")
-            view = np.frombuffer(data, np.uint8)
+    def _cut(self, word: bytes) -> list[bytes]:
+        """A word at all its certain cuts."""
+        if len(word) > SHORT:
+            view = np.frombuffer(word, np.uint8)
             cuts = (np.flatnonzero(self.never[view[:-1], view[1:]]) + 1).tolist()
-            for start, end in zip([0, *cuts], [*cuts, len(data)]):
-                piece = data[start:end]
-                own = self.pieces.get(piece)
-                if own is None:
-                    own = self.merge(piece)
-                    if len(piece) <= SHORT:
-                        self.pieces[piece] = own
-                ids += own
-        return np.array(ids, "<u4").tobytes()
+        else:
+            never = self.never_pairs
+            cuts = [i for i in range(1, len(word)) if never[word[i - 1] << 8 | word[i]]]
+        return [word[start:end] for start, end in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
+
+    def _new_fragment(self, fragment: bytes) -> bytes:
+        out, known = [], self.pieces
+        for text in self.words.findall(fragment.decode("utf-8")):
+            word = text.encode("utf-8")
+            own = known.get(word)
+            if own is None:
+                parts = []
+                for piece in self._cut(word):
+                    part = known.get(piece)
+                    if part is None:
+                        part = array("I", self.merge(piece)).tobytes()
+                        if len(piece) <= SHORT:
+                            known[piece] = part
+                    parts.append(part)
+                own = b"".join(parts)
+                if len(word) <= SHORT:
+                    known[word] = own
+            out.append(own)
+        return b"".join(out)
 
     def _plain(self, text: str) -> bytes:
         data = text.encode("utf-8", "replace")
@@ -208,11 +240,12 @@ def encoded(docs: DataFrame, bpe: ByteBpe, id_col: str = "doc_id", text_col: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = bpe.here()
         for whole in batches:
             for at in range(0, whole.num_rows, STEP):
                 batch = whole.slice(at, STEP)
-                ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
-                texts = [pa.array([bpe.decode(i) for i in ids], pa.string())] if decode else []
+                ids = [own.encode(t or "") for t in batch.column(1).to_pylist()]
+                texts = [pa.array([own.decode(i) for i in ids], pa.string())] if decode else []
                 yield pa.RecordBatch.from_arrays([batch.column(0), _ids_column(ids), *texts], names)
 
     names = ["doc_id", "ids"] + ["decoded"] * decode
