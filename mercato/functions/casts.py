@@ -45,8 +45,12 @@ def cast_text(text: Column, kind: str, strict: bool = False) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """Exact form of a float amount, so that sums do not depend on row order."""
-    return amount.cast("decimal(18,4)")
+    """Exact form of a float amount, so that sums do not depend on row order.
+
+    Six decimals and amounts below 1e22, far above any total of the shop; what is no amount (NaN, infinite, larger)
+    counts as missing, in sums and in the divisors of means alike.
+    """
+    return F.when(F.abs(amount) < 1e22, F.nanvl(amount, F.lit(None).cast("double")).try_cast("decimal(28,6)"))
 
 
 def money_sum(amount: Column) -> Column:

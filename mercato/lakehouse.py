@@ -83,8 +83,8 @@ class _Folder:
 class Table:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
                  partition: str | None = None, partition_of: str | None = None,
-                 cluster: tuple[str, ...] = ()):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+                 cluster: tuple[str, ...] = (), races: int = 1000):
+        self.spark, self.path, self.schema, self.races = spark, path.rstrip("/"), schema, races
         self.partition, self.partition_of, self.cluster = partition, partition_of, cluster
         self._dir = _Folder(spark, self.path)
 
@@ -96,6 +96,17 @@ class Table:
     def exists(self) -> bool:
         return self._dir.has(self._commit_path(0))
 
+    def _commit(self, version: int) -> dict:
+        return json.loads(self._dir.read(self._commit_path(version)))
+
+    def added_after(self, version: int, upto: dict) -> list[str]:
+        """Ids of the writes that appends brought after a version, up to a state.
+
+        What compaction or a rewrite put in other folders since is not listed again.
+        """
+        found = [self._commit(v).get("added") for v in range(version + 1, upto["version"] + 1)]
+        return [w for w in found if w]
+
     def state(self) -> dict:
         """The latest commit. ``_CURRENT`` says where to start looking, so nothing is listed."""
         if not self.exists():
@@ -104,7 +115,7 @@ class Table:
         version = int(self._dir.read(hint) or 0) if self._dir.has(hint) else 0
         while self._dir.has(self._commit_path(version + 1)):
             version += 1
-        return json.loads(self._dir.read(self._commit_path(version)))
+        return self._commit(version)
 
     def create(self) -> Table:
         if not self.exists():
@@ -150,9 +161,10 @@ class Table:
         if self.partition:
             columns.append(F.to_date(F.col(self.partition_of)).alias(self.partition))
         out = df.select(*columns)
-        if self.cluster:
+        if self.cluster or self.partition:
             # Rebalance, not repartition: AQE splits a day or value that holds most rows over many tasks.
             out = out.hint("rebalance", *([self.partition] if self.partition else self.cluster))
+        if self.cluster:
             out = out.sortWithinPartitions(*([self.partition] if self.partition else []), *self.cluster)
         if not self.partition:
             out.write.parquet(where)
@@ -164,14 +176,19 @@ class Table:
     def _done(self, state: dict, txn: tuple[str, int] | None) -> bool:
         return txn is not None and state["txns"].get(txn[0], -1) >= txn[1]
 
-    def _commit_change(self, change: Callable[[dict], None], txn: tuple[str, int] | None = None) -> bool:
-        """Apply a change to the latest state; if another commit comes first, to the one after it."""
-        for _ in range(100):
+    def _commit_change(self, change: Callable[[dict], None], txn: tuple[str, int] | None = None,
+                       added: str | None = None) -> bool:
+        """Apply a change to the latest state; if another commit comes first, to the one after it.
+
+        Gives up only after ``races`` lost races.
+        """
+        for _ in range(self.races):
             state = self.state()
             if self._done(state, txn):
                 return False
             change(state["parts"])
             state["version"] += 1
+            state["added"] = added
             if txn is not None:
                 state["txns"][txn[0]] = txn[1]
             if self._dir.create(self._commit_path(state["version"]), json.dumps(state)):
@@ -179,37 +196,55 @@ class Table:
                 return True
         raise RuntimeError(f"could not commit to {self.path}")
 
-    def append(self, df: DataFrame, txn: tuple[str, int] | None = None) -> str | None:
+    def append(self, df: DataFrame, txn: tuple[str, int] | None = None, seen: dict | None = None) -> str | None:
         """Add rows and return the id of the write.
 
         ``txn`` = (writer, batch number) makes a repeated batch a no-op, with None returned.
+        ``seen`` is the ``parts`` the rows were computed from: if the table has changed
+        since, in whichever partition, the write fails.
         """
         if self._done(self.state(), txn):
             return None
         write_id, held = self._write(df)
 
         def add(parts: dict) -> None:
+            self._unchanged(parts, seen)
             for part in held:
                 parts.setdefault(part, []).append(write_id)
 
-        return write_id if self._commit_change(add, txn) else None
+        return write_id if self._commit_change(add, txn, write_id) else None
 
-    def read_write(self, write_id: str) -> DataFrame:
-        """Only the rows one write brought."""
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/w={write_id}")
+    def _unchanged(self, parts: dict, seen: dict | None) -> None:
+        if seen is not None and parts != seen:
+            raise TableChanged(f"{self.path} was written meanwhile; run the write again")
+
+    def read_write(self, *write_ids: str) -> DataFrame:
+        """Only the rows the named writes brought."""
+        if not write_ids:
+            return self.spark.createDataFrame([], self.schema)
+        stored = T.StructType(list(self.schema)).add("w", T.StringType())
+        if self.partition:
+            stored.add(self.partition, T.DateType())
+        found = self.spark.read.schema(stored).option("basePath", self.path).parquet(
+            *[f"{self.path}/w={w}" for w in write_ids])
+        return found.select(*self.schema.names)
 
-    def replace(self, df: DataFrame, parts: Iterable[str] | None = None, seen: dict | None = None) -> str:
+    def replace(self, df: DataFrame, parts: Iterable[str] | None = None, seen: dict | None = None,
+                txn: tuple[str, int] | None = None, whole: bool = False) -> str:
         """Put ``df`` in place of the named partitions (default: of everything).
 
         Partitions ``df`` brings that are not among the named ones gain rows. ``seen``
         is the ``parts`` of the state ``df`` was computed from (default: the present
-        one): if a partition to be replaced has changed since, the write fails.
+        one): if a partition to be replaced has changed since, the write fails; with
+        ``whole`` also if any other has, as when new keys must be new to the table.
         """
         before = self.state()["parts"] if seen is None else seen
         gone = None if parts is None else set(parts)
         write_id, held = self._write(df)
 
         def swap(now: dict) -> None:
+            if whole:
+                self._unchanged(now, before)
             dropped = set(now) | set(before) if gone is None else gone
             if any(now.get(p) != before.get(p) for p in dropped):
                 raise TableChanged(f"{self.path} was written meanwhile; run the write again")
@@ -218,7 +253,7 @@ class Table:
             for part in held:
                 now.setdefault(part, []).append(write_id)
 
-        self._commit_change(swap)
+        self._commit_change(swap, txn)
         return write_id
 
     def compact(self, until: date | str | None = None) -> list[str]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from mercato.functions.instants import instant
 from mercato.functions.json_fields import parse_object, scalar
 from mercato.lakehouse import NULL_PARTITION, Lakehouse, Table
 from mercato.schemas import ENTITIES, EntitySpec
+from mercato.session import scratch_path
 
 LINEAGE = ("ingested_at", "source")
 
@@ -151,32 +152,60 @@ def rejected(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
 
 def merge_into(lake: Lakehouse, name: str, since: datetime | str | None = None, now=None,
                on_duplicate: str = "latest", strict: bool = False,
-               protect: Callable[[DataFrame], DataFrame] | None = None) -> None:
+               protect: Callable[[DataFrame], DataFrame] | None = None, only_new: bool = False) -> None:
     """Merge an entity's Bronze rows into its Silver table.
 
-    ``since`` takes only rows that arrived after it. ``protect`` is applied to the
-    rows before they are stored, e.g. to hide personal columns; off by default.
+    ``only_new`` takes the Bronze writes that no merge has taken yet. The Silver commit
+    itself remembers up to which Bronze commit it has merged, so nothing is lost or
+    taken twice, however late a write is committed. ``since`` takes rows that
+    arrived after an instant. ``protect`` is applied to the rows before they are
+    stored, e.g. to hide personal columns; off by default.
 
     Inserts only append. Updates never move a row to another day, so only days
-    that hold a matched row are written again.
+    that hold a matched row are written again. If the table was written meanwhile,
+    by another merge say, the merge fails with TableChanged and can be run again.
     """
-    spec, table = ENTITIES[name], lake.silver(name)
-    seen = table.state()["parts"]
-    first = None if since is None else str(since)[:10]
-    bronze = lake.bronze(name).read(first=first)
+    spec, table, arrivals = ENTITIES[name], lake.silver(name), lake.bronze(name)
+    state, reached = table.state(), arrivals.state()
+    seen, merged_up_to = state["parts"], state["txns"].get("bronze", 0)
+    if only_new:
+        fresh = arrivals.added_after(merged_up_to, reached)
+        if not fresh:
+            return
+        bronze = arrivals.read_write(*fresh)
+    else:
+        bronze = arrivals.read(first=None if since is None else _utc_day(since))
     if since is not None:
         bronze = bronze.where(F.col("ingested_at") > instant(since))
     source = batch(bronze, spec, now, on_duplicate, strict)
     if protect is not None:
         source = protect(source)
+    # Everything of Bronze up to this commit is merged, unless only a part was asked for.
+    txn = ("bronze", reached["version"]) if since is None and reached["version"] > merged_up_to else None
     if spec.insert_only:
-        table.append(insert_absent(table.read(), source, spec.keys))
-    elif spec.partition is None:
-        table.replace(upsert(table.read(), source, spec.keys, spec.update, since is not None), seen=seen)
-    else:
-        arriving, _ = split_required(parse_bronze(bronze, spec), spec.keys)
-        days = _touched_days(table, arriving.select(*spec.keys).distinct(), spec)
-        table.replace(upsert(table.read(only=days), source, spec.keys, spec.update, since is not None), days, seen)
+        table.append(insert_absent(table.read(), source, spec.keys), txn, seen)
+        return
+    small = only_new or since is not None
+    if spec.partition is None:
+        table.replace(upsert(table.read(), source, spec.keys, spec.update, small), seen=seen, txn=txn, whole=True)
+        return
+    # Written once: it is used to find the days, to update and to insert.
+    source = staged(source, f"merge-{name}")
+    days = _touched_days(table, source.select(*spec.keys), spec)
+    table.replace(upsert(table.read(only=days), source, spec.keys, spec.update, small), days, seen, txn, whole=True)
+
+
+def _utc_day(since: datetime | str) -> str:
+    """The UTC day of an instant; text or time without a zone is UTC."""
+    at = datetime.fromisoformat(since) if isinstance(since, str) else since
+    return str((at if at.tzinfo is None else at.astimezone(timezone.utc)).date())
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written once to shared storage and read from there."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _touched_days(table: Table, arriving: DataFrame, spec: EntitySpec) -> list[str]:

@@ -40,7 +40,7 @@ def _distinct(column: str, approximate: bool) -> Column:
 
 
 def _revenue_by_day(per_order: DataFrame, weight: Column, approximate: bool) -> DataFrame:
-    counted = F.sum(F.when(F.col("total_amount").isNotNull(), weight))
+    counted = F.sum(F.when(money(F.col("total_amount")).isNotNull(), weight))
     total = F.sum(money(F.col("total_amount")) * weight)
     return per_order.groupBy(F.to_date("ordered_at").alias("date"), "currency").agg(
         total.cast("double").alias("total_revenue"),
@@ -76,7 +76,7 @@ def customer_metrics(customers: DataFrame, orders: DataFrame, as_of=None) -> Dat
     per_customer = paid(orders).groupBy("customer_id").agg(
         total.cast("double").alias("total_spent"),
         F.count("order_id").alias("order_count"),
-        _mean(total, F.count("total_amount")).alias("avg_order_value"),
+        _mean(total, F.count(money(F.col("total_amount")))).alias("avg_order_value"),
         F.min("ordered_at").alias("first_order_date"),
         F.max("ordered_at").alias("last_order_date"),
     )
@@ -164,7 +164,7 @@ def monthly_kpis(orders: DataFrame, month_as_date: bool = False, approximate: bo
         total.cast("double").alias("total_revenue"),
         F.count("order_id").alias("order_count"),
         _distinct("customer_id", approximate).alias("active_customers"),
-        _mean(total, F.count("total_amount")).alias("avg_order_value"),
+        _mean(total, F.count(money(F.col("total_amount")))).alias("avg_order_value"),
     )
 
 

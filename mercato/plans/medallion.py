@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from graphlib import TopologicalSorter
 
-from mercato.lakehouse import Lakehouse
+from mercato.lakehouse import Lakehouse, TableChanged
 from mercato.operators.merge import merge_into
 from mercato.schemas import ENTITIES
 
@@ -26,22 +26,24 @@ def bronze_to_silver(lake: Lakehouse, entities: Iterable[str] | None = None, ret
     """Merge the named entities (default all eight).
 
     Entities that do not wait for each other run as concurrent Spark jobs; each
-    is tried again up to ``retries`` times.
+    is tried again up to ``retries`` times if another writer was faster or storage failed.
     """
     def run(name: str) -> str:
         for attempt in range(retries + 1):
             try:
                 merge_into(lake, name, **how)
                 return name
-            except Exception:
+            except (TableChanged, OSError):
                 if attempt == retries:
                     raise
 
-    waiting, done = _graph(entities), []
+    waiting, done, running = _graph(entities), [], set()
     waiting.prepare()
     with ThreadPoolExecutor(at_once) as pool:
         while waiting.is_active():
-            ready = waiting.get_ready()
-            done += pool.map(run, ready)
-            waiting.done(*ready)
+            running |= {pool.submit(run, name) for name in waiting.get_ready()}
+            over, running = wait(running, return_when=FIRST_COMPLETED)
+            for name in sorted(f.result() for f in over):
+                done.append(name)
+                waiting.done(name)
     return done

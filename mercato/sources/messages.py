@@ -9,7 +9,7 @@ from mercato.functions.instants import instant
 from mercato.functions.json_fields import maybe_falsy, parse_object, truthy
 
 STREAM_SOURCE = "streaming/pubsub"
-RAW_LIMIT = 10_000  # fixed value: characters of a bad message that are kept
+RAW_LIMIT = 10_000  # fixed value: characters of a bad message that the older design kept
 
 
 def read_event_stream(spark: SparkSession, path: str | None = None,
@@ -26,16 +26,19 @@ def read_event_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def check_events(messages: DataFrame, value: str = "value", source: str = STREAM_SOURCE,
-                 now=None) -> DataFrame:
+                 now=None, raw_limit: int | None = None) -> DataFrame:
     """Parse each message once and say what is wrong with it, if anything.
 
     Works on batch and streaming frames. ``error_type`` is NULL for valid rows.
+    Messages are kept whole, so that any of them can be repaired and replayed;
+    ``raw_limit`` (the older design's is RAW_LIMIT) keeps that many characters.
     """
     as_text = F.col(value).cast("string")
+    whole = F.make_valid_utf8(as_text)
     text = messages.select(
         "*",
         F.try_validate_utf8(as_text).alias("_text"),
-        F.substring(F.make_valid_utf8(as_text), 1, RAW_LIMIT).alias("raw_message"),
+        (whole if raw_limit is None else F.substring(whole, 1, raw_limit)).alias("raw_message"),
     )
     parsed = parse_object(text, "_text", ["event_id", "event_type"], "_doc", maybe_falsy(F.col("_text")))
     both = truthy("_doc", "event_id") & truthy("_doc", "event_type")
@@ -69,9 +72,9 @@ def event_errors(checked: DataFrame) -> DataFrame:
 
 
 def split_events(messages: DataFrame, value: str = "value", source: str = STREAM_SOURCE,
-                 now=None) -> tuple[DataFrame, DataFrame]:
+                 now=None, raw_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid Bronze rows, error rows)."""
-    checked = check_events(messages, value, source, now)
+    checked = check_events(messages, value, source, now, raw_limit)
     return valid_events(checked), event_errors(checked)
 
 

@@ -167,3 +167,15 @@ def test_golden_silver(sample):
         "reviews": 30}
     assert sample["orders"].where("shipped_at is null").count() == 21
     assert sample["products"].where("is_active").count() == 16
+
+
+def test_huge_small_and_missing_amounts(spark):
+    """Sums survive any size; NaN and infinity count as missing, in the divisor too."""
+    orders = spark.createDataFrame([("o1", "c1", 1e15), ("o2", "c1", float("nan")), ("o3", "c1", 0.000001), ("o4", "c1", float("inf"))],
+                                   "order_id string, customer_id string, total_amount double").select(
+        "*", F.lit("completed").alias("status"), F.lit("USD").alias("currency"),
+        F.lit("2026-01-04 10:00:00").cast("timestamp").alias("ordered_at"))
+    got = gold.monthly_kpis(orders).first()
+    assert got.total_revenue == 1e15 and got.avg_order_value == 5e14 and got.order_count == 4
+    small = gold.monthly_kpis(orders.where("total_amount < 1")).first()
+    assert small.total_revenue == 0.000001

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from mercato.lakehouse import Table, TableChanged
 from mercato.operators import merge
 from mercato.operators.privacy import deidentify
 from mercato.plans import gold, medallion
@@ -181,3 +182,52 @@ def test_views(lake):
     assert gold.view(lake, "monthly_kpis", ("2026-02-01", "2026-02-28")).count() == 0
     with pytest.raises(ValueError):
         gold.view(lake, "customer_metrics", ("2026-02-01", "2026-02-28"))
+
+
+def test_only_new_takes_each_bronze_write_once_however_late(lake):
+    deliver(lake, "customers", [{"id": "c1", "address": "a"}], "2026-01-05 00:00:00")
+    merge.merge_into(lake, "customers", only_new=True)
+    deliver(lake, "customers", [{"id": "c2", "address": "b"}], "2026-01-01 00:00:00")  # older rows, committed later
+    deliver(lake, "customers", [{"id": "c1", "address": "new"}], "2026-01-06 00:00:00")
+    lake.bronze("customers").compact()
+    merge.merge_into(lake, "customers", only_new=True)
+    assert silver(lake, "customers", "customer_id", "address") == [("c1", "new"), ("c2", "b")]
+    before = lake.silver("customers").state()["version"]
+    merge.merge_into(lake, "customers", only_new=True)
+    assert lake.silver("customers").state()["version"] == before
+
+
+@pytest.mark.parametrize("since", [None, "2026-01-01"])
+@pytest.mark.parametrize("entity, doc", [
+    ("reviews", {"review_id": "r1", "product_id": "p", "rating": "5", "created_at": "2026-01-01T00:00:00Z"}),
+    ("orders", {"order_id": "o1", "status": "pending", "ordered_at": "2026-01-01T00:00:00Z"}),
+    ("customers", {"id": "c1"})])
+def test_racing_merges_insert_once(lake, monkeypatch, entity, doc, since):
+    deliver(lake, entity, [doc], "2026-01-02 00:00:00")
+    write, raced = Table._write, []
+
+    def slow_write(self, df):
+        out = write(self, df)
+        if "/silver/" in self.path and not raced:
+            raced.append(True)  # between this merge's write and its commit the other one runs
+            deliver(lake, entity, [doc], "2026-01-03 00:00:00")
+            merge.merge_into(lake, entity)
+        return out
+
+    monkeypatch.setattr(Table, "_write", slow_write)
+    if since is None:
+        merge.merge_into(lake, entity)  # the other one has merged all that this one has: nothing to do
+    else:
+        with pytest.raises(TableChanged):
+            merge.merge_into(lake, entity, since=since)
+    assert raced and lake.silver(entity).read().count() == 1
+    merge.merge_into(lake, entity)
+    assert lake.silver(entity).read().count() == 1
+
+
+@pytest.mark.parametrize("since, taken", [("2026-03-01 00:30:00+02:00", 2), ("2026-02-28 22:45:00", 1), ("2026-03-01 00:30:00", 0)])
+def test_since_is_an_instant(lake, since, taken):
+    deliver(lake, "customers", [{"id": "c1"}], "2026-02-28 22:40:00")
+    deliver(lake, "customers", [{"id": "c2"}], "2026-02-28 23:10:00")
+    merge.merge_into(lake, "customers", since=since)
+    assert lake.silver("customers").read().count() == taken

@@ -81,10 +81,19 @@ def test_bytes_and_long_messages(spark):
     good, bad = messages.split_events(df)
     assert [tuple(r) for r in good.select("event_id", "event_type", "source").collect()] == [
         ("a", "é", "streaming/pubsub")]
-    assert sorted(r.n for r in bad.select(F.length("raw_message").alias("n")).collect())[-1] == 10_000
+    assert sorted(r.n for r in bad.select(F.length("raw_message").alias("n")).collect())[-1] == 20_000
+    _, cut = messages.split_events(df, raw_limit=messages.RAW_LIMIT)
+    assert sorted(r.n for r in cut.select(F.length("raw_message").alias("n")).collect())[-1] == 10_000
     assert {r.error_type for r in bad.collect()} == {"invalid_json"}
 
 
+def test_a_long_message_can_be_replayed(spark):
+    broken = '{"event_id":"a","event_type":"view","note":"' + "x" * 12_000 + '"'
+    _, bad = messages.split_events(spark.createDataFrame([(broken,)], "value string"))
+    again, still = messages.replay_errors(bad, F.concat("raw_message", F.lit("}")))
+    assert [r.event_id for r in again.collect()] == ["a"] and still.isEmpty()
+
+
 def test_payload_is_kept_and_replay_recovers(spark):
     text = '  {"event_id":"a", "event_type":"t", "n":1.50}'
     df = spark.createDataFrame([(text,), ('{"event_id":"b","event_type":"t"',)], "value string")

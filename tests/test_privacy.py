@@ -102,3 +102,10 @@ def test_policy_over_payload(spark):
     doc = {"event_id": "e", "email": "maria@example.com", "n": 1.5, "deep": {"email": "x"}, "none": None, "ip": "10.0.0.9"}
     out = value(spark, privacy.protect_payload(F.lit(json.dumps(doc)), {"email": "mask_email", "ip": "subnet", "zip": "token"}, KEY))
     assert json.loads(out) == doc | {"email": "m****@*******.com", "ip": "10.0.0.0/24"}
+
+
+def test_long_names_are_masked_whole(spark):
+    name = "n" * 70
+    df = spark.createDataFrame([(1, f"write to {name}@example.com or a.b@c.de!")], "id int, t string")
+    assert privacy.protect_texts(df, "t", ["EMAIL_ADDRESS"]).first().t == f"write to n{'*' * 69}@*******.com or a**@*.de!"
+    assert privacy.findings(df, "id", "t", types=["EMAIL_ADDRESS"]).count() == 2

@@ -11,10 +11,13 @@ from mercato.schemas import ENTITIES
 from mercato.sources import csv_files, messages
 from mercato.streaming import jobs
 
-CLICKS = [
-    {"event_id": f"rt-{i}", "event_type": kind, "customer_id": "cust-001", "session_id": "sess-100", "product_id": None,
-     "page_url": "/home", "device": "mobile", "timestamp": f"2026-03-16T12:00:{second:02d}Z"}
-    for i, (kind, second) in enumerate([("page_view", 1), ("product_view", 5), ("add_to_cart", 10), ("purchase", 15)])]
+def click(number, kind, at, **more):
+    return {"event_id": f"click-{number}", "event_type": kind, "customer_id": "shopper-7", "session_id": "visit-42",
+            "product_id": None, "page_url": "/sale", "device": "tablet", "timestamp": at} | more
+
+
+CLICKS = [click(0, "page_view", "2025-09-03T08:15:02Z"), click(1, "product_view", "2025-09-03T08:16:40Z"),
+          click(2, "add_to_cart", "2025-09-03T08:17:11Z"), click(3, "purchase", "2025-09-03T08:18:59Z")]
 
 
 def send(folder, name, docs):
@@ -36,10 +39,10 @@ def test_events_to_bronze_and_errors(spark, lake, tmp_path):
     go = lambda: run(jobs.events_to_bronze(lake, messages.read_event_stream(spark, str(inbox)), cp))
     go()
     assert rows(lake.bronze("events_raw").read(), "event_id", "source") == [
-        (f"rt-{i}", "streaming/pubsub") for i in range(4)]
+        (f"click-{i}", "streaming/pubsub") for i in range(4)]
     assert rows(lake.bronze("events_errors").read(), "raw_message", "error_type") == [
         ("not json", "invalid_json"), ('{"some_field": "some_value"}', "missing_required_fields")]
-    send(inbox, "b.json", [CLICKS[0] | {"event_id": "rt-9"}])
+    send(inbox, "b.json", [CLICKS[0] | {"event_id": "click-9"}])
     go(), go()
     assert lake.bronze("events_raw").read().count() == 5
     batch, _ = messages.split_events(messages.read_event_files(spark, str(inbox)))
@@ -74,7 +77,7 @@ def test_payload_is_protected_on_the_way(spark, lake, tmp_path):
     run(jobs.events_to_bronze(lake, messages.read_event_stream(spark, str(tmp_path / "in")), str(tmp_path / "cp"),
                               policy={"email": "mask_email"}))
     doc = json.loads(lake.bronze("events_raw").read().first().raw_payload)
-    assert doc["email"] == "m****@*******.com" and doc["event_id"] == "rt-0" and doc["product_id"] is None
+    assert doc["email"] == "m****@*******.com" and doc["event_id"] == "click-0" and doc["product_id"] is None
 
 
 def test_new_files_are_loaded_once_and_merged(spark, lake, tmp_path):
@@ -105,13 +108,13 @@ def typed(spark, folder):
 
 def test_windows_and_late_events(spark, lake, tmp_path):
     inbox = tmp_path / "in"
-    send(inbox, "a.json", [*CLICKS, late("2026-03-16T12:30:00Z")])
+    send(inbox, "a.json", [*CLICKS, late("2025-09-03T08:45:00Z")])
     counts = jobs.window_counts(typed(spark, inbox))
     table = Table(spark, str(tmp_path / "w"), counts.schema).create()
     run(jobs.to_table(counts, table, str(tmp_path / "w-cp")))
     want = sorted((c["event_type"], 1) for c in CLICKS)
     assert rows(table.read(), "event_type", "event_count") == want
-    send(inbox, "b.json", [CLICKS[0] | {"event_id": "too late"}, late("2026-03-16T13:30:00Z")])
+    send(inbox, "b.json", [CLICKS[0] | {"event_id": "too late"}, late("2025-09-03T09:45:00Z")])
     run(jobs.to_table(jobs.window_counts(typed(spark, inbox)), table, str(tmp_path / "w-cp")))
     assert rows(table.read().where("event_type <> 'search'"), "event_type", "event_count") == want
     run(jobs.event_metrics_to_silver(lake, typed(spark, inbox), str(tmp_path / "m-cp")))
