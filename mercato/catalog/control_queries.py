@@ -8,7 +8,7 @@ from mercato.catalog.registry import query
 from mercato.catalog.roles import Store, with_roles
 from mercato.functions import pii
 from mercato.lakehouse import Table
-from mercato.operators import checks, governance, privacy
+from mercato.operators import checks, governance, ingest, privacy
 from mercato.plans import gold
 from mercato.schemas import ENTITIES
 from mercato.session import scratch_path
@@ -282,3 +282,27 @@ def scan_bytes(s: Store):
                   spec.partition, ("event_type", "customer_id")).create()
     table.append(events)
     return checks.scan_bytes(table.read(), table.read("2024-01-10", "2024-01-10"))
+
+
+@query("order_total_differences", """
+    SELECT o_orderkey AS order_id, o_totalprice AS total_amount, items_total
+    FROM orders JOIN (SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS items_total
+                      FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+    WHERE abs(o_totalprice - items_total) > 0.01""")
+def order_total_differences(s: Store):
+    return checks.order_total_differences(s.orders(), s.order_items())
+
+
+@query("recent_events", """
+    SELECT event_id, event_type, ts AS event_timestamp FROM events
+    WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 15 MINUTE""")
+def recent_events(s: Store):
+    """Events of the last 15 minutes before a fixed instant, and later ones."""
+    found = ingest.recent_rows(s.table("events"), "15 minutes", "ts", "2024-01-20 12:00:00")
+    return found.select("event_id", "event_type", F.col("ts").alias("event_timestamp"))
+
+
+@query("rows_of_one_source", """
+    SELECT doc_id, lang, n_chars FROM documents WHERE source = 'src7'""")
+def rows_of_one_source(s: Store):
+    return ingest.rows_from(s.table("documents"), "src7").select("doc_id", "lang", "n_chars")

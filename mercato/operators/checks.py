@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.functions.casts import money_sum
 from mercato.functions.instants import bucket_start, time_bucket
 from mercato.schemas import ORDER_STATUSES, PAYMENT_STATUSES
 
@@ -130,3 +131,13 @@ def quality_report(silver: Mapping[str, DataFrame], tolerance: float = 0.01) ->
         if child in silver and parent in silver:
             parts.append(_orphans(child, silver[child], key, silver[parent]))
     return reduce(DataFrame.unionByName, parts)
+
+
+def order_total_differences(orders: DataFrame, items: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Orders whose amount is not the sum of their items' totals: order_id, total_amount, items_total.
+
+    An order without items, or without an amount, has none to compare and is left out.
+    """
+    sums = items.groupBy("order_id").agg(money_sum(F.col("total_price")).cast("double").alias("items_total"))
+    return orders.select("order_id", "total_amount").join(sums, "order_id").where(
+        F.abs(F.col("total_amount") - F.col("items_total")) > tolerance)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,13 +80,22 @@ def expired_days(df: DataFrame, column: str, keep_days: int, as_of=None) -> Data
         F.count("*").alias("rows"))
 
 
+def expire_rows(lake: Lakehouse, layer: str, name: str, column: str, as_of: str) -> None:
+    """Rewrite a table without the rows whose ``column`` is past the layer's retention; rows without a time stay."""
+    table = (lake.bronze if layer == "bronze" else lake.silver)(name)
+    seen = table.state()["parts"]
+    cutoff = F.date_sub(day(as_of), RETENTION_DAYS[layer]).cast("timestamp")
+    table.replace(table.read().where(F.col(column).isNull() | (F.col(column) >= cutoff)), seen=seen)
+
+
 def enforce_retention(lake: Lakehouse, layer: str, name: str, as_of: str) -> list[str]:
-    """Drop whole days past the layer's retention; returns the days."""
+    """Drop whole days past the layer's retention; returns the days.
+
+    A table that is not kept by day has no days to drop: it is refused, not passed over in silence.
+    """
     table = (lake.bronze if layer == "bronze" else lake.silver)(name)
     if not table.partition:
-        return []
-    from datetime import date, timedelta
-
+        raise ValueError(f"{layer}.{name} is not kept by day; remove its rows with expire_rows")
     cutoff = str(date.fromisoformat(as_of) - timedelta(days=RETENTION_DAYS[layer]))
     gone = [d for d in table.days() if d != NULL_PARTITION and d < cutoff]
     if gone:

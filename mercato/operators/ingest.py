@@ -52,3 +52,13 @@ def reprocess_range(rows: DataFrame, first: str, last: str, column: str = "inges
     """Rows ingested on the days first..last, both included, as a range the scan can use."""
     upto = F.date_add(F.lit(last).cast("date"), 1).cast("timestamp")
     return rows.where((F.col(column) >= F.lit(first).cast("timestamp")) & (F.col(column) < upto))
+
+
+def recent_rows(rows: DataFrame, span: str, column: str = "ingested_at", now=None) -> DataFrame:
+    """Rows of the last ``span`` ("15 minutes") before ``now``, as a range the scan can use."""
+    return rows.where(F.col(column) >= instant(now) - F.expr(f"interval {span}"))
+
+
+def rows_from(rows: DataFrame, source: str, column: str = "source") -> DataFrame:
+    """Rows that one file, stream or table brought."""
+    return rows.where(F.col(column) == source)

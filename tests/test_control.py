@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -37,7 +38,13 @@ def test_retention(spark, lake):
     assert g.enforce_retention(lake, "bronze", "orders_raw", "2026-01-01") == ["2024-01-01"]
     assert rows(lake.bronze("orders_raw").read(), "record_id") == [("2024-01-02",), ("2026-01-01",)]
     assert g.enforce_retention(lake, "bronze", "orders_raw", "2026-01-01") == []
-    assert g.enforce_retention(lake, "silver", "customers", "2026-01-01") == []
+    with pytest.raises(ValueError):
+        g.enforce_retention(lake, "silver", "customers", "2026-01-01")
+    deliver(lake, "customers", [{"id": "old", "updated_at": "2019-01-01T00:00:00Z"}, {"id": "new", "updated_at": "2025-06-01T00:00:00Z"},
+                                {"id": "undated"}], "2026-01-01 00:00:00")
+    merge_into(lake, "customers")
+    g.expire_rows(lake, "silver", "customers", "updated_at", "2026-01-01")
+    assert rows(lake.silver("customers").read(), "customer_id") == [("new",), ("undated",)]
     old = g.expired_days(lake.bronze("orders_raw").read(), "ingested_at", 730, "2026-01-02")
     assert rows(old.select(F.col("day").cast("string"), "rows")) == [("2024-01-02", 1)]
 
