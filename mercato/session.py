@@ -46,17 +46,19 @@ def use_engine_conf(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
+    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local-mode session that names none gets a temporary folder.
+    Only a session in local mode that names none, as in tests, gets a temporary folder, the same
+    one for as long as it lives.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        made = tempfile.mkdtemp(prefix="mercato-")
-        spark.conf.set("spark.checkpoint.dir", made)
-        return made
+    context = spark.sparkContext
+    if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="mercato-"))
+        return context.getCheckpointDir().rstrip("/")
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
