@@ -33,6 +33,8 @@ STILL = 0.001
 FLOORS = (0.08, 0.5, 0.35, 0.9)
 SIZE = len(FLOORS)
 RARE = 1e-6
+#: Parts of a group that meet its estimates apart, so that one with most rows is not one task's work.
+PARTS = 32
 
 
 def chi_square_tail(x: float, degrees: int) -> float:
@@ -94,10 +96,19 @@ def _moments(rows: DataFrame) -> DataFrame:
     return made.mapInArrow(_invert, "group string, start int, centre array<double>, inverse array<double>, log_det double")
 
 
+def _parted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)))
+
+
+def _meet(rows: DataFrame, of_group: DataFrame) -> DataFrame:
+    """Rows of _parted with what is known of their group."""
+    return rows.join(of_group.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long")))), ["group", "part"])
+
+
 def _starts(rows: DataFrame) -> DataFrame:
     """Per group: medians with diagonal spreads by median deviations (0), means with covariances (1)."""
     middles = rows.groupBy("group").agg(*[F.percentile_approx(_at("x", i), 0.5, 1000).alias(f"m{i}") for i in range(SIZE)])
-    off = rows.join(middles, "group").select("group", *[F.col(f"m{i}") for i in range(SIZE)], *[
+    off = _meet(rows, middles).select("group", *[F.col(f"m{i}") for i in range(SIZE)], *[
         F.abs(_at("x", i) - F.col(f"m{i}")).alias(f"a{i}") for i in range(SIZE)])
     spreads = off.groupBy("group", *[f"m{i}" for i in range(SIZE)]).agg(
         *[(1.4826 * F.percentile_approx(f"a{i}", 0.5, 1000)).alias(f"s{i}") for i in range(SIZE)])
@@ -111,11 +122,12 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 def estimates(rows: DataFrame) -> DataFrame:
     """rows (group, x) to (group, centre, inverse): the concentration steps end when no determinant moves, or after STEPS."""
+    rows = _parted(rows)
     now = saved(_starts(rows), "estimates")
     for _ in range(STEPS):
-        near = rows.join(now, "group").select("group", "start", "x", distance().alias("d"))
-        limit = near.groupBy("group", "start").agg(F.percentile_approx("d", H, 1000).alias("limit"))
-        after = saved(_moments(near.join(limit, ["group", "start"]).filter("d <= limit")), "estimates")
+        limit = _meet(rows, now).groupBy("group", "start").agg(F.percentile_approx(distance(), H, 1000).alias("limit"))
+        near = _meet(rows, now.join(limit, ["group", "start"])).filter(distance() <= F.col("limit"))
+        after = saved(_moments(near), "estimates")
         moved = after.select("group", "start", F.col("log_det").alias("new")).join(
             now, ["group", "start"]).filter(F.abs(F.col("new") - F.col("log_det")) > STILL)
         now = after
