@@ -26,7 +26,7 @@ from mercato.llm.kept import kept
 
 # Fixed value: the public byte-level pattern for words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT = 1_000_000
+KEPT = 300_000
 SHORT = 32
 BITS = 32
 MASK = (1 << BITS) - 1
