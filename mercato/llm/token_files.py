@@ -15,7 +15,7 @@ Spark commits; what a lost or repeated task leaves is never read.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,10 +76,11 @@ def blocks(stream) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
         yield [None if n else i for i, n in zip(ids, null)], lengths, unpack(control, data, count)
 
 
-def _writer(folder: str, ranks: np.ndarray, inflate: Callable[[bytes], bytes]):
+def _writer(folder: str, ranks: np.ndarray):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(f"{root}/data", recursive=True)
+        packer = Packer()
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
         done, stream, path, ids, parts, held, in_file, documents = [], None, "", [], [], 0, 0, 0
 
@@ -103,7 +104,7 @@ def _writer(folder: str, ranks: np.ndarray, inflate: Callable[[bytes], bytes]):
 
         for batch in batches:
             for doc_id, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = ranks[np.frombuffer(inflate(packed.as_py()), "<u4")]
+                own = ranks[packer.unpack(packed.as_py())]
                 ids.append(doc_id)
                 parts.append(own)
                 held += len(own)
@@ -120,26 +121,30 @@ def _writer(folder: str, ranks: np.ndarray, inflate: Callable[[bytes], bytes]):
     return write
 
 
-def _compress(payload: bytes) -> bytes:
-    import zstandard
+class Packer:
+    """Ids as compressed bytes: 2 or 4 bytes an id, the first byte says which."""
 
-    return zstandard.ZstdCompressor(level=1).compress(payload)
+    def __init__(self):
+        import zstandard
 
+        self.compressor, self.decompressor = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
-def _inflate(payload: bytes) -> bytes:
-    import zstandard
+    def pack(self, ids: np.ndarray) -> bytes:
+        kind = "<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4"
+        return bytes([int(kind[2])]) + self.compressor.compress(ids.astype(kind).tobytes())
 
-    return zstandard.ZstdDecompressor().decompress(payload)
+    def unpack(self, packed: bytes) -> np.ndarray:
+        return np.frombuffer(self.decompressor.decompress(packed[1:]), f"<u{packed[0]}")
 
 
 def tokenised(docs: DataFrame, tokens, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the compressed little-endian uint32 ids of every whole text, `end_id` last. tokens: see WordTokens."""
+    """doc_id and the ids of every whole text, `end_id` last, as Packer packs them. tokens: see WordTokens."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = np.array([end_id], "<u4").tobytes()
+        last, own, packer = np.array([end_id], np.uint32), tokens.here(), Packer()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            packed = [_compress(ids.astype("<u4").tobytes() + last) for ids in tokens.encode(texts)]
+            packed = [packer.pack(np.concatenate([ids, last])) for ids in own.encode(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
@@ -147,10 +152,11 @@ def tokenised(docs: DataFrame, tokens, end_id: int, id_col: str = "doc_id", text
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
+    total, packer = np.zeros(0, np.int64), Packer()
     for batch in batches:
-        for packed in batch.column(1):
-            own = np.bincount(np.frombuffer(_inflate(packed.as_py()), "<u4"), minlength=len(total))
+        for at in range(0, batch.num_rows, 1024):
+            ids = [packer.unpack(packed.as_py()) for packed in batch.column(1).slice(at, 1024)]
+            own = np.bincount(np.concatenate(ids), minlength=len(total))
             own[:len(total)] += total
             total = own
     found = np.flatnonzero(total)
@@ -174,7 +180,7 @@ def write_tokens(docs: DataFrame, folder: str, tokens, end_id: int, id_col: str
     spark.createDataFrame([(r, int(i)) for r, i in enumerate(by_rank)], "rank int, id long").coalesce(1).write.parquet(
         f"{folder}/ranks")
     dealt = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "packed")
-    dealt.mapInArrow(_writer(folder, ranks, _inflate),
+    dealt.mapInArrow(_writer(folder, ranks),
                      "part int, seq int, path string, documents long, ids long").write.parquet(f"{folder}/manifest")
 
 

@@ -1,7 +1,7 @@
 """Token ids of whole texts from the tokenizers library, each distinct word encoded once.
 
 For a tokenizer that drops white space and never looks across it, the ids of a text are the ids of its blank-separated
-words one after the other. A task keeps the ids of the words it has met (at most KEPT) and asks the library only for
+words one after the other. A task keeps the ids of the words it has met (about KEPT of them) and asks the library only for
 new ones, many in one call.
 """
 
@@ -12,7 +12,10 @@ from functools import cached_property
 
 import numpy as np
 
-KEPT = 1 << 20
+from mercato.llm.kept import kept
+
+KEPT = 1_000_000
+AT_ONCE = 512
 TAIL = b".,;:!?"
 
 
@@ -24,14 +27,42 @@ def vocabulary(path: str, most: int = 64 << 20) -> str:
         return file.read()
 
 
+def _letters(core: bytes) -> bool:
+    """Whether a word is letters alone, in lower case too (a letter may turn into a letter and a mark)."""
+    text = core.decode("utf-8", "replace")
+    return text.isalpha() and text.lower().isalpha()
+
+
+class Slots(dict):
+    """Word to its place in a list; a new word gets the next place."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        self.new.append(word)
+        return place
+
+
 class WordTokens:
     def __init__(self, tokenizer: str, end_of_word: str = "</w>"):
         self.tokenizer, self.end_of_word = tokenizer, end_of_word
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots, self.ids = Slots(), []
 
     def __getstate__(self):
-        return {"tokenizer": self.tokenizer, "end_of_word": self.end_of_word, "words": {}, "cores": {}}
+        return {"tokenizer": self.tokenizer, "end_of_word": self.end_of_word}
+
+    def __setstate__(self, state):
+        self.__init__(**state)
+
+    def here(self) -> WordTokens:
+        """The one of this process, with the words it already knows."""
+        return kept("words", self.tokenizer + self.end_of_word, lambda: self)
 
     @cached_property
     def library(self):
@@ -54,44 +85,56 @@ class WordTokens:
     def _call(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, cores: list[bytes]) -> None:
-        texts = [core.decode("utf-8", "replace") for core in cores]
-        plain = [i for i, s in enumerate(texts) if s.isalpha() and s.lower().isalpha()]
-        other = sorted(set(range(len(texts))) - set(plain))
+    def _learn(self, cores: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that the library has to be asked for."""
+        made, plain, other = {}, [], []
+        for core in cores:
+            (plain if core.isalpha() or _letters(core) else other).append(core)
         for at in range(0, len(plain), 4096):
             own = plain[at:at + 4096]
-            ids = self._call([" ".join(texts[i] for i in own)])[0]
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(own) and ends[-1] == len(ids):
-                for i, part in zip(own, np.split(ids, ends[:-1])):
-                    self.cores[cores[i]] = part.tobytes()
+            ids = self._call([b" ".join(own).decode("utf-8")])[0]
+            ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            if len(ends) == len(own) and ends[-1] == 4 * len(ids):
+                data, stops = ids.tobytes(), ends.tolist()
+                made.update(zip(own, [data[start:stop] for start, stop in zip([0, *stops], stops)]))
             else:
                 other.extend(own)
         for at in range(0, len(other), 4096):
             own = other[at:at + 4096]
-            for i, ids in zip(own, self._call([texts[i] for i in own])):
-                self.cores[cores[i]] = ids.tobytes()
+            for core, ids in zip(own, self._call([c.decode("utf-8", "replace") for c in own])):
+                made[core] = ids.tobytes()
+        return made
 
     @staticmethod
     def parts(word: bytes) -> list[bytes]:
         """A word and the marks that follow it, where no token can hold both."""
         core = word.rstrip(TAIL)
-        plain = core.decode("utf-8", "replace")
-        if core and b"'" not in word and plain.isalpha() and plain.lower().isalpha():
+        if core.isalpha() or core and b"'" not in word and _letters(core):
             return [core.lower(), word[len(core):]] if len(core) < len(word) else [core.lower()]
         return [word]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
-        if len(self.words) > KEPT:
-            self.words.clear()
-        if len(self.cores) > KEPT:
-            self.cores.clear()
-        split = [text.encode("utf-8", "replace").split() for text in texts]
-        new = set().union(*split).difference(self.words)
-        pieces = {word: self.parts(word) for word in new}
-        self._learn(sorted({p for own in pieces.values() for p in own if p not in self.cores}))
-        for word, own in pieces.items():
-            self.words[word] = b"".join([self.cores[p] for p in own])
-        take = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(take, words)), np.uint32) for words in split]
+        return [ids for at in range(0, len(texts), AT_ONCE) for ids in self._some(texts[at:at + AT_ONCE])]
+
+    def _some(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.slots) > KEPT:
+            self._forget()
+        place = self.slots.__getitem__
+        places = [list(map(place, text.encode("utf-8", "replace").split())) for text in texts]
+        # New words, then the parts of them that are new as words themselves; only whole ones go to the library.
+        pieces, at = [], 0
+        while at < len(self.slots.new):
+            pieces.append(self.parts(self.slots.new[at]))
+            for part in pieces[-1]:
+                place(part)
+            at += 1
+        new, known = self.slots.new, len(self.ids)
+        made = self._learn([word for word, own in zip(new, pieces) if own == [word]])
+        self.ids.extend([made.get(word) for word in new])
+        for i, own in enumerate(pieces, known):
+            if self.ids[i] is None:
+                self.ids[i] = b"".join([self.ids[place(p)] for p in own])
+        self.slots.new = []
+        take = self.ids.__getitem__
+        return [np.frombuffer(b"".join(map(take, own)), np.uint32) for own in places]
