@@ -6,11 +6,12 @@ they are. A region (the documents below one prefix) that holds few documents is
 depth; a dense one is opened deeper, until it is small or the order ends. What is still dense at the first
 useful depth is a group of close copies: nearly all of them join up over one likely partner each, and those that do not are
 compared with all others in blocks, as products of 0/1 matrices, which give links only and never a list of pairs.
-Pairs that are already joined up over others are never listed either.
+Pairs that are already joined up over others are never listed either. Opening a region deeper only joins up most of it
+at less cost: its members at depth 4 are kept, and those that end up outside its largest component meet all of them.
 
 All links are confirmed on full sets. Documents with equal sets stand behind one node before any of this, so copies
 are never paired. Chance of not meeting at similarity s with T trees at depth d: (1 - s^d)^T; for s = 0.75, 24 trees,
-that is 2e-6 at depth 3 and, in dense regions only, 1e-4 at depth 4.
+that is 2e-6 at depth 3 and, in dense regions of any size, 1e-4 at depth 4.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ SHINGLE = 5
 SIMILAR = (75, 100)
 TREES = 24
 REGION, DENSE = 16, 4096
-#: (values read, members up to which a region of this depth stays closed).
+#: (values read, members up to which a region of this depth stays closed). From the second depth on a region is also kept whole.
 DEPTHS = ((3, REGION), (4, DENSE), (6, DENSE), (9, DENSE), (12, None))
 FIRST, LAST = DEPTHS[0][0], DEPTHS[-1][0]
 VALUES = TREES * FIRST
@@ -92,15 +93,16 @@ def _prefix(depth: int) -> Column:
     return F.xxhash64("tree", F.transform(positions, lambda i: F.element_at("signature", i)))
 
 
-def regions(nodes: DataFrame) -> DataFrame:
+def regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """nodes (node, signature) to the members (region, n, least, node) of each tree's regions of two or more.
 
     A row's region is the shallowest that has as few members as DEPTHS allows, else the deepest. Members are counted by
-    a grouping with map-side counts, so no region is ever gathered in a task.
+    a grouping with map-side counts, so no region is ever gathered in a task. Second, in the same form, the regions of the
+    second depth that were opened deeper, with all their members; None if there are none.
     """
     rows = nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    out = None
-    for depth, most in DEPTHS:
+    out = whole = None
+    for step, (depth, most) in enumerate(DEPTHS):
         keyed = rows.select("node", "tree", _prefix(depth).alias("region"))
         sizes = keyed.groupBy("region").agg(F.count("*").alias("n"), F.min("node").alias("least"),
                                             F.max("node").alias("last")).filter("least < last").drop("last")
@@ -110,7 +112,9 @@ def regions(nodes: DataFrame) -> DataFrame:
         final = (members if last else members.filter(F.col("n") <= most)).select("region", "n", "least", "node")
         out = final if out is None else out.unionByName(final)
         if last:
-            return out
+            return out, whole
+        if step == 1:
+            whole = dense.select("region", "n", "least", "node")
         rows = dense.select("node", "tree").join(nodes, "node")
 
 
@@ -243,19 +247,21 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _dense_links(parted: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between components inside dense regions.
 
-    The members outside the component of the region's least node meet all its members, block by block. A block pair is
-    one unit of work of bounded size, however large the region.
+    The members outside the region's largest component meet all its members, block by block. A block pair is one unit of
+    work of bounded size, however large the region; few members outside make few blocks.
     """
     rows = parted.filter(F.col("n") > REGION)
-    home = rows.filter("node = least").select("region", F.col("part").alias("home"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    home = rows.groupBy("region", "part").agg(F.count("*").alias("own")).groupBy("region").agg(
+        F.max_by("part", F.struct("own", -F.col("part"))).alias("home"), (F.sum("own") - F.max("own")).alias("others"))
+    blocks, others = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n", "others"))
+    place = lambda among: F.pmod(F.xxhash64("node"), among).cast("int")
     rows = saved(rows.join(home, "region").select(
-        "region", "node", "part", "home", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own")), "dense")
-    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    outside = rows.filter("part != home")
-    first = outside.select("region", F.col("own").alias("i"), each.alias("j"), F.lit(0).alias("side"), "node", "part")
-    any_member = rows.select("region", each.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "node", "part").join(
-        outside.select("region", F.col("own").alias("i")).distinct(), ["region", "i"], "left_semi")
+        "region", "node", "part", "home", blocks.alias("blocks"), place(blocks).alias("own"),
+        others.alias("outer"), place(others).alias("out")), "dense")
+    each = lambda among: F.explode(F.sequence(F.lit(0), F.col(among) - 1))
+    first = rows.filter("part != home").select(
+        "region", F.col("out").alias("i"), each("blocks").alias("j"), F.lit(0).alias("side"), "node", "part")
+    any_member = rows.select("region", each("outer").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "node", "part")
     met = first.unionByName(any_member.select(first.columns)).join(texts, "node").select(
         "region", "i", "j", "side", "node", "part", "text")
     dealt = met.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "side", "node")
@@ -266,21 +272,33 @@ def linked_nodes(nodes: DataFrame, texts_of) -> DataFrame:
     """(node, component) of the nodes that are linked to a lesser one. texts_of: ids (node) to (node, text).
 
     First every node is compared with one likely partner, which joins up most groups. Then only what is still apart is
-    compared: pairs of small regions, blocks of dense ones.
+    compared: pairs of small regions, blocks of dense ones, last the dense ones that were opened deeper, as they were before.
     """
-    members = regions(nodes)
-    texts = saved(texts_of(members.select("node").distinct()), "texts")
+    members, whole = regions(nodes)
+    ids = members.select("node") if whole is None else members.select("node").unionByName(whole.select("node"))
+    texts = saved(texts_of(ids.distinct()), "texts")
     seen = saved(confirmed(_nearest(members), texts), "confirmed")
     links = seen.filter(_linked()).select("a", "b")
     labels = components(links)
     parted = saved(_parted(members, labels), "parted")
-    if parted.isEmpty():
+    if not parted.isEmpty():
+        links = saved(links.unionByName(_links_between(parted, seen, texts)), "linked")
+        labels = components(links)
+    if whole is None:
         return labels
+    apart = saved(_parted(whole, labels), "apart")
+    if apart.isEmpty():
+        return labels
+    return components(links.unionByName(_dense_links(apart, texts)))
+
+
+def _links_between(parted: DataFrame, seen: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between components inside regions; seen: pairs that were compared before."""
     pairs = saved(_open_pairs(parted).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     more = confirmed(pairs, texts).filter(_linked()).select("a", "b")
     if not parted.filter(F.col("n") > REGION).isEmpty():
         more = more.unionByName(_dense_links(parted, texts))
-    return components(links.unionByName(more))
+    return more
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

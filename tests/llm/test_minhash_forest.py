@@ -65,6 +65,24 @@ def test_large_groups_of_copies_and_of_close_copies(spark, documents, monkeypatc
     assert max(Counter(c for _, c in want.values()).values()) >= 80
 
 
+def test_a_dense_region_over_the_limit_keeps_its_links(spark, documents, monkeypatch):
+    """A template with one unique word each, in regions opened to the last depth, and texts at a similarity of about 0.76 to all."""
+    monkeypatch.setattr(minhash_forest, "DEPTHS", ((3, 16), (4, 40), (6, 40), (9, 40), (12, None)))
+    monkeypatch.setattr(minhash_forest, "BLOCK", 32)
+    rnd = random.Random(8)
+    template = [f"t{i}" for i in range(204)]
+    core = [" ".join(template[:-1] + [f"only{i}"]) for i in range(300)]
+    far = []
+    for i in range(30):
+        words, at = list(template), rnd.randrange(5, 170)
+        for k in range(22):
+            words[at + k] = f"e{i}x{k}"
+        far.append(" ".join(words))
+    rows = list(enumerate(core)) + [(1000 + i, t) for i, t in enumerate(far)]
+    want = check(documents([(i, t, "en", "a") for i, t in rows]), rows)
+    assert {c for _, c in want.values()} == {0}
+
+
 def test_awkward_rows(awkward, nothing):
     got = near_duplicates(awkward).collect()
     assert len(got) == awkward.count()
