@@ -62,6 +62,27 @@ def test_a_third_of_outliers_does_not_move_the_estimate(spark):
     assert 0.5 < H < 1
 
 
+@pytest.mark.parametrize("share", [0.26, 0.34])
+def test_a_third_of_copies_is_rejected(spark, share):
+    rnd = np.random.default_rng(4)
+    clean = rnd.normal([1.6, 2, 1, 2], [0.1, 0.4, 0.5, 0.6], size=(1000, 4))
+    junk = [[1.6, 7.0, 1.0, 2.0]] * round(1000 * share / (1 - share))
+    rows = [("g", x) for x in clean.tolist() + junk]
+    got = estimates(spark.createDataFrame(rows, "group string, x array<double>")).collect()[0]
+    away = np.array([junk[0]] + clean.tolist()) - got["centre"]
+    distances = np.einsum("ni,ij,nj->n", away, np.array(got["inverse"]).reshape(4, 4), away)
+    assert distances[0] > CUTOFF and distances[1:].max() <= CUTOFF
+
+
+def test_a_bad_source_with_a_third_of_copies(documents):
+    rnd = random.Random(6)
+    text = lambda: " ".join(f"word{rnd.randrange(10**6)}" for _ in range(60))
+    bad = " ".join(f"w{i}#$%&" for i in range(60))
+    rows = [(i, text() if i % 20 < 13 else bad, "en", "s") for i in range(400)]
+    kept = {r["doc_id"]: r["kept"] for r in judged(documents(rows)).collect()}
+    assert kept == {i: i % 20 < 13 for i in range(400)}
+
+
 def test_small_sources_are_pooled(documents):
     rnd = random.Random(3)
     text = lambda: " ".join(f"word{rnd.randrange(10**6)}" for _ in range(60))
