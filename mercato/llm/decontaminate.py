@@ -1,14 +1,19 @@
-"""Benchmark decontamination: rare word n-grams find candidates, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: rare word pairs find candidates, Smith-Waterman alignment scores them.
 
 The test items are the small side: a stated set, sent to the tasks in blocks of bounded size, against all documents in
-place, so no text is shuffled. One pass counts, over all documents, in how many of them each n-gram of the items occurs.
-Of each run of neighbouring n-grams of an item the rarest is a seed, so an item has seeds everywhere, common or not, and
-an unedited run of a few words holds one. A second pass finds the seeds in the documents; where the seed lies in the item
-tells where the item would start. There the words of the item are aligned with the words of the document.
+place, so no text is shuffled. A pair is two words with at most one other between them, in the item and in the document.
+
+An alignment with M matches and E edits scores 2 M - E. Between neighbouring matches with no pair lie two edits or more, so
+one of share `least` of an item of L words (2 M - E >= 2 least L) has at least M - 1 - E / 2 >= least L - 1 pairs, each with
+a first word of its own. Of the L - 1 first words an item may thus miss only some, and one more than these, the rarest
+by one count over all documents, are seeds: every such alignment holds one. A second pass finds the seeds in the
+documents; where the seed lies in the item tells where the item would start. Where there are as many pairs as an
+alignment needs, the words of the item are aligned with the words of the document.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -18,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GRAM = 3
-RUN = 2
+REACH = 2
 SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_BYTES = 16 << 20
@@ -44,41 +48,51 @@ class Items:
                 self.ids.append(item_id)
                 self.words.append(np.array(own, np.int64))
         self.base = len(self.numbers) + 1
-        width = GRAM if self.base ** GRAM < 2 ** 62 else 1
-        self.width = min([width, *map(len, self.words)], default=1)
-        grams = [self.keys(w) for w in self.words]
-        self.grams = np.unique(np.concatenate(grams)) if grams else np.empty(0, np.int64)
-        self.places = [np.searchsorted(self.grams, g) for g in grams]
-
-    def keys(self, words: np.ndarray) -> np.ndarray:
-        """Numbers of the n-grams, -1 where a word is in no item."""
-        count = max(0, len(words) - self.width + 1)
-        out, known = np.zeros(count, np.int64), np.ones(count, bool)
-        for i in range(self.width):
-            part = words[i:i + count]
-            out, known = out * self.base + part, known & (part >= 0)
-        return np.where(known, out, -1)
+        self.reaches = range(0 if any(len(w) == 1 for w in self.words) else 1, REACH + 1)
+        #: Per item and first word the keys of its pairs, of a lone word its own.
+        firsts = [np.stack([self.keys(w, r) for r in range(1, REACH + 1)])[:, :-1] if len(w) > 1
+                  else np.stack([self.keys(w, 0)] * REACH) for w in self.words]
+        self.grams = np.unique(np.concatenate([f[f >= 0] for f in firsts])) if firsts else np.empty(0, np.int64)
+        #: The same as places in self.grams, len(self.grams) where there is none.
+        self.places = [np.where(f >= 0, np.searchsorted(self.grams, f), len(self.grams)) for f in firsts]
+
+    def keys(self, words: np.ndarray, reach: int) -> np.ndarray:
+        """Number of the pair of each word and the one `reach` after it (0: the word alone), -1 where one is in no item."""
+        out = np.full(len(words), -1, np.int64)
+        if reach == 0:
+            return np.where(words >= 0, words * self.base + self.base - 1, -1)
+        first, second = words[:-reach], words[reach:]
+        out[:max(0, len(words) - reach)] = np.where((first >= 0) & (second >= 0), first * self.base + second, -1)
+        return out
 
     def numbered(self, text: str | None) -> np.ndarray:
         words, get = words_of(text), self.numbers.get
         return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
 
     def found(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the document and in self.grams of the n-grams that occur in an item."""
-        keys = self.keys(words)
-        if not len(self.grams) or not len(keys):
+        """Places in the document, in order, and in self.grams of the pairs that occur in an item."""
+        if not len(self.grams) or not len(words):
             return np.empty(0, np.int64), np.empty(0, np.int64)
+        keys = np.stack([self.keys(words, r) for r in self.reaches], axis=1).ravel()
+        known = np.flatnonzero(keys >= 0)
+        keys = keys[known]
         at = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
-        hit = np.flatnonzero(self.grams[at] == keys)
-        return hit, at[hit]
+        hit = self.grams[at] == keys
+        return known[hit] // len(self.reaches), at[hit]
 
-    def seeds(self, counts: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """n-gram to the (item, place) where it is the rarest of a run; ties: the first."""
-        out = defaultdict(set)
+    def needed(self, item: int, least: float) -> int:
+        """First words with a pair that an alignment of share `least` has; one at least."""
+        return max(1, math.ceil(least * len(self.words[item]) - 1 - 1e-9))
+
+    def seeds(self, counts: np.ndarray, least: float) -> dict[int, list[tuple[int, int]]]:
+        """Pair to the (item, place) of its first words that are seeds: the rarest, one more than may be missed; ties: the first."""
+        out, counts = defaultdict(set), np.append(counts, 0)
         for item, places in enumerate(self.places):
-            for at in range(max(1, len(places) - RUN + 1)):
-                best = at + int(np.argmin(counts[places[at:at + RUN]]))
-                out[int(places[best])].add((item, best))
+            among = places.shape[1]
+            for at in np.argsort(counts[places].sum(axis=0), kind="stable")[:max(1, among - self.needed(item, least) + 1)].tolist():
+                for gram in places[:, at].tolist():
+                    if gram < len(self.grams):
+                        out[gram].add((item, at))
         return {gram: sorted(found) for gram, found in out.items()}
 
 
@@ -103,9 +117,12 @@ def best_scores(items: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarra
     return best
 
 
-def _windows(words: np.ndarray, size: int, starts: list[int]) -> list[np.ndarray]:
-    """Parts of the document around the places where an item of this size would start; near ones are joined."""
-    slack = size // 2 + 2
+def _windows(words: np.ndarray, size: int, starts: list[int], least: float) -> list[tuple[int, int]]:
+    """Parts of the document around the places where an item of this size would start; near ones are joined.
+
+    An alignment of share `least` has at most 2 (1 - least) size edits, so it lies within the part of any of its pairs.
+    """
+    slack = math.ceil(2 * (1 - least) * size) + 2
     spans: list[list[int]] = []
     for start in sorted(set(starts)):
         low, high = max(0, start - slack), min(len(words), start + size + slack)
@@ -113,7 +130,7 @@ def _windows(words: np.ndarray, size: int, starts: list[int]) -> list[np.ndarray
             spans[-1][1] = high
         else:
             spans.append([low, high])
-    return [words[low:high] for low, high in spans]
+    return [(low, high) for low, high in spans]
 
 
 def _count_grams(block: Items):
@@ -131,6 +148,7 @@ def _count_grams(block: Items):
 def _align(block: Items, seeds: dict[int, list[tuple[int, int]]], least: float):
     wanted = np.zeros(len(block.grams), bool)
     wanted[list(seeds)] = True
+    needed = [block.needed(item, least) for item in range(len(block.words))]
 
     def score(waiting: list) -> list[tuple]:
         """waiting: (row, item, window). Best share of each (row, item) that reaches `least`."""
@@ -153,6 +171,7 @@ def _align(block: Items, seeds: dict[int, list[tuple[int, int]]], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             waiting, held, out = [], 0, []
+            present = np.zeros(len(block.grams) + 1, bool)
             ids = batch.column(0).to_pylist()
             for row, text in enumerate(batch.column(1)):
                 words = block.numbered(text.as_py())
@@ -163,9 +182,14 @@ def _align(block: Items, seeds: dict[int, list[tuple[int, int]]], least: float):
                     for item, inside in seeds[gram]:
                         starts[item].append(place - inside)
                 for item, own in starts.items():
-                    for window in _windows(words, len(block.words[item]), own):
-                        waiting.append((row, item, window))
-                        held += len(window)
+                    for low, high in _windows(words, len(block.words[item]), own, least):
+                        inside = grams[np.searchsorted(places, low):np.searchsorted(places, high)]
+                        present[inside] = True
+                        enough = np.count_nonzero(present[block.places[item]].any(axis=0)) >= needed[item]
+                        present[inside] = False
+                        if enough:
+                            waiting.append((row, item, words[low:high]))
+                            held += high - low
                 if held > CELLS // 4:
                     out, waiting, held = out + score(waiting), [], 0
             out = out + score(waiting)
@@ -198,8 +222,8 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = SCORE, id_col
     score is the best local alignment of the item's words with any part of the document as a share of the score of a
     verbatim copy (1.0); pairs of `least` or more are returned, each document row and item once. Clean documents have
     no row. Null or wordless texts and items have none; items without an id are left out; a null document id stays
-    null; repeated document rows are judged each. Items of fewer words than an n-gram shorten the n-grams of their
-    block. Other columns are ignored.
+    null; repeated document rows are judged each. An item of two words is found only by both, with at most one other
+    word between them, though one of them alone would score 0.5. Other columns are ignored.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -210,6 +234,6 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = SCORE, id_col
         counted = texts.mapInArrow(_count_grams(block), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         for row in counted.toLocalIterator():
             counts[row["gram"]] = row["n"]
-        own = texts.mapInArrow(_align(block, block.seeds(counts), least), "doc_id long, item_id long, score double")
+        own = texts.mapInArrow(_align(block, block.seeds(counts, least), least), "doc_id long, item_id long, score double")
         found = own if number == 0 else found.unionByName(own)
     return found

@@ -61,6 +61,26 @@ def test_score_of_a_hit_is_the_best_alignment_with_the_whole_text(spark, sf_dir)
         assert score == brute_score(own[i], texts[d]) / (MATCH * len(own[i]))
 
 
+def test_every_edit_pattern_of_half_a_copy_is_found(spark, documents):
+    """Against all alignments: each n-th word replaced, deleted or followed by another, in regular and random places."""
+    rnd = random.Random(9)
+    common = [f"c{i}" for i in range(12)]
+    own = {n: [rnd.choice(common) if rnd.random() < 0.3 else f"i{n}x{k}" for k in range(n)] for n in (3, 4, 5, 8, 13, 30, 31)}
+    texts = [" ".join(rnd.choice(common + FILL[:40]) for _ in range(120)) for _ in range(40)]
+    for words in own.values():
+        marks = [[i % n == n - 1 for i in range(len(words))] for n in (1, 2, 3, 4)]
+        marks += [[rnd.random() < p for _ in words] for p in (0.2, 0.35, 0.5) for _ in range(3)]
+        for marked in marks:
+            for edit in (lambda w: [], lambda w: ["other"], lambda w: [w, "more"], lambda w: rnd.choice([[], ["other"], [w, "more"]])):
+                body = [x for w, m in zip(words, marked) for x in (edit(w) if m else [w])]
+                texts.append(" ".join(FILL[:60] + body + FILL[60:90]))
+    docs = documents([(i, t, "en", "a") for i, t in enumerate(texts)])
+    test = spark.createDataFrame([(n, " ".join(w)) for n, w in own.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in contaminated(docs, test).collect()}
+    want = {(d, n): brute_score(w, words_of(t)) / (MATCH * n) for d, t in enumerate(texts) for n, w in own.items()}
+    assert got == {pair: share for pair, share in want.items() if share >= 0.5} and len(got) > 150
+
+
 def test_awkward_rows(spark, awkward, nothing):
     assert contaminated(awkward, items(spark)).count() == 0
     assert contaminated(nothing, items(spark)).count() == 0
