@@ -111,7 +111,8 @@ def forest_scores(found: DataFrame, labelled: DataFrame, most_labelled: int = MO
     """found with `score`, the forest's share for a secret. Both tables come from with_features; labelled has `label` 0 or 1.
 
     At most `most_labelled` findings of each class are learnt from, the same ones whenever the table is the same. With
-    one class only, or none, there is nothing to tell apart: every score is then 1, and no finding is removed.
+    class 0 only, a value with a credential word before it scores 1 and any other 0, by the rules of likely_labels; with
+    class 1 only, or none, there is nothing to tell apart: every score is then 1, and no finding is removed.
     """
     inputs = [f"f_{n}" for n in features()]
     place = F.xxhash64("value", "before", "after", "doc_id", "start")
@@ -119,7 +120,10 @@ def forest_scores(found: DataFrame, labelled: DataFrame, most_labelled: int = MO
         labelled.filter(F.col("label") == c).select(*inputs, F.col("label").cast("double").alias("label"), place.alias("place"))
         .orderBy("place", *inputs).limit(most_labelled) for c in (0, 1)])
     taken = saved(taken.orderBy("place").drop("place"), "labelled")
-    if taken.select("label").distinct().count() < 2:
+    classes = {row["label"] for row in taken.select("label").distinct().collect()}
+    if classes == {0.0}:
+        return found.withColumn("score", (F.col("f_credential_before") == 1).cast("double"))
+    if len(classes) < 2:
         return found.withColumn("score", F.lit(1.0))
     gather = VectorAssembler(inputCols=inputs, outputCol="inputs")
     forest = RandomForestClassifier(featuresCol="inputs", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)

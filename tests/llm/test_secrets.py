@@ -78,3 +78,9 @@ def test_awkward_rows(spark, awkward, nothing):
     assert [(r["doc_id"], r["value"], r["secret"]) for r in got] == [(None, "aaaa1111bbbb2222cccc", True)]
     assert redacted(odd, scan(odd)).collect()[0]["text"] == f"token={MASK}"
     assert with_features(candidates(nothing)).count() == 0
+
+
+def test_harmless_candidates_alone_are_no_secrets(documents):
+    docs = documents([(1, "order 4539578763621486 shipped", "en", "a"), (2, "see /usr/share/doc42/index.html there", "en", "a"),
+                      (3, "password: hunterhunter", "en", "a")])
+    assert {(r["doc_id"], r["secret"]) for r in scan(docs).collect()} == {(1, False), (2, False), (3, True)}
