@@ -4,13 +4,13 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
+
+from store_rows import SMALL
 
 from mercato.lakehouse import Lakehouse
 from mercato.session import local_session
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -30,9 +30,3 @@ def sf_dir():
     if not os.path.isdir(SMALL):
         pytest.skip("benchmark tables not present")
     return SMALL
-
-
-def rows(df, *order):
-    """Rows as plain tuples, sorted for comparison."""
-    picked = df.select(*order) if order else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

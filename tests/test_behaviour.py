@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from store_rows import rows
 from mercato.operators import behaviour as b
 
 START = datetime(2026, 1, 1)

@@ -24,7 +24,7 @@ def duck(sf_dir_module):
 def sf_dir_module():
     import os
 
-    from conftest import SMALL
+    from store_rows import SMALL
 
     if not os.path.isdir(SMALL):
         pytest.skip("benchmark tables not present")

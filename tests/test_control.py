@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from store_rows import rows
 from mercato.operators import checks, governance as g
 from test_merge import deliver
 from mercato.operators.merge import merge_into

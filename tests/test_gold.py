@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from store_rows import rows
 from mercato.lakehouse import Lakehouse
 from mercato.operators.ingest import csv_to_bronze
 from mercato.plans import gold, medallion

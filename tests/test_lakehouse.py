@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from store_rows import rows
 from mercato.lakehouse import Lakehouse, Table, TableChanged, TableMissing, TableNotEmpty
 from mercato.operators.ingest import append_bronze, csv_to_bronze
 from mercato.plans.gold import materialize

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from store_rows import rows
 from mercato.lakehouse import Table, TableChanged
 from mercato.operators import merge
 from mercato.operators.privacy import deidentify

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from store_rows import rows
 from mercato.sources import messages
 
 BAD = ["", "0", "x", "[1]", '"x"', "null", '{"a":1} xyz', "{'event_id':'a','event_type':'b'}",

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from store_rows import rows
 from mercato.functions import pii
 from mercato.operators import privacy
 

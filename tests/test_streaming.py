@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from store_rows import rows
 from mercato.lakehouse import Lakehouse, Table, TableMissing
 from mercato.operators import behaviour
 from mercato.operators.merge import merge_into
