@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.kept import kept
+from mercato.llm.kept import giving_back, kept
 
 # Fixed value: the public byte-level pattern for words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -250,4 +250,4 @@ def encoded(docs: DataFrame, bpe: ByteBpe, id_col: str = "doc_id", text_col: str
 
     names = ["doc_id", "ids"] + ["decoded"] * decode
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, ids array<int>" + ", decoded string" * decode)
+        giving_back(run), "doc_id long, ids array<int>" + ", decoded string" * decode)

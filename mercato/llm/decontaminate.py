@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.kept import giving_back
+
 REACH = 2
 SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -231,9 +233,9 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = SCORE, id_col
     for number, held in enumerate(item_blocks(items, block_bytes)):
         block = Items(held)
         counts = np.zeros(len(block.grams), np.int64)
-        counted = texts.mapInArrow(_count_grams(block), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        counted = texts.mapInArrow(giving_back(_count_grams(block)), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         for row in counted.toLocalIterator():
             counts[row["gram"]] = row["n"]
-        own = texts.mapInArrow(_align(block, block.seeds(counts, least), least), "doc_id long, item_id long, score double")
+        own = texts.mapInArrow(giving_back(_align(block, block.seeds(counts, least), least)), "doc_id long, item_id long, score double")
         found = own if number == 0 else found.unionByName(own)
     return found

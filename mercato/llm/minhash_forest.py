@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.kept import giving_back
 from mercato.llm.links import components
 from mercato.llm.store import saved
 from mercato.llm.words import STEP, WordNumbers, mixed, shingle_set, split_words
@@ -83,7 +84,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        _sketch, "doc_id long, n_shingles long, set_a long, set_b long, signature array<int>")
+        giving_back(_sketch), "doc_id long, n_shingles long, set_a long, set_b long, signature array<int>")
 
 
 def _prefix(depth: int) -> Column:
@@ -151,7 +152,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                           F.lit(0).alias("role"), F.col("a").alias("node"))
     rows = partners.unionByName(heads).join(texts, "node").select("a", "block", "role", "node", "text")
     dealt = rows.repartition("a", "block").sortWithinPartitions("a", "block", "role", "node")
-    return (dealt.mapInArrow(_compare, "a long, b long, shared long, either long")
+    return (dealt.mapInArrow(giving_back(_compare), "a long, b long, shared long, either long")
             .groupBy("a", "b").agg(F.max_by(F.struct("shared", "either"), F.col("shared") / F.col("either")).alias("s"))
             .select("a", "b", "s.shared", "s.either"))
 
@@ -265,7 +266,7 @@ def _dense_links(parted: DataFrame, texts: DataFrame) -> DataFrame:
     met = first.unionByName(any_member.select(first.columns)).join(texts, "node").select(
         "region", "i", "j", "side", "node", "part", "text")
     dealt = met.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", "side", "node")
-    return dealt.mapInArrow(_block_links, "a long, b long").distinct()
+    return dealt.mapInArrow(giving_back(_block_links), "a long, b long").distinct()
 
 
 def linked_nodes(nodes: DataFrame, texts_of) -> DataFrame:

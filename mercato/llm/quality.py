@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.boosted_trees import Trees, fit
+from mercato.llm.kept import giving_back
 from mercato.llm.labelled import held_out, sample
 from mercato.llm.store import saved
 from mercato.llm.text_stats import shape, shaped
@@ -43,7 +44,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees.score(_matrix(batch.column(1))))], ["doc_id", "score"])
 
-    return stats.mapInArrow(run, "doc_id long, score double").select(
+    return stats.mapInArrow(giving_back(run), "doc_id long, score double").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
 
 
@@ -60,4 +61,4 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             stats = np.array([shape(t.as_py()) for t in batch.column(place)], np.float64)
             yield batch.filter(pa.array(trees.score(stats) >= LEAST_SCORE if len(stats) else np.zeros(0, bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.llm.kept import giving_back
+
 BLANK = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -88,7 +90,7 @@ def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gro
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       *[F.col(g).cast("string").alias(n) for g, n in zip(groups, names)])
-    return own.mapInArrow(run, "doc_id long, " + ", ".join([f"{c} long" for c in COUNTS] + [f"{n} string" for n in names]))
+    return own.mapInArrow(giving_back(run), "doc_id long, " + ", ".join([f"{c} long" for c in COUNTS] + [f"{n} string" for n in names]))
 
 
 def shaped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,4 +104,4 @@ def shaped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))], ["doc_id", "stats"])
 
-    return _table(docs, id_col, text_col).mapInArrow(run, "doc_id long, stats array<double>")
+    return _table(docs, id_col, text_col).mapInArrow(giving_back(run), "doc_id long, stats array<double>")
