@@ -295,7 +295,7 @@ def order_total_differences(s: Store):
 
 @query("recent_events", """
     SELECT event_id, event_type, ts AS event_timestamp FROM events
-    WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 15 MINUTE""")
+    WHERE ts > TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 15 MINUTE""")
 def recent_events(s: Store):
     """Events of the last 15 minutes before a fixed instant, and later ones."""
     found = ingest.recent_rows(s.table("events"), "15 minutes", "ts", "2024-01-20 12:00:00")

@@ -55,8 +55,8 @@ def reprocess_range(rows: DataFrame, first: str, last: str, column: str = "inges
 
 
 def recent_rows(rows: DataFrame, span: str, column: str = "ingested_at", now=None) -> DataFrame:
-    """Rows of the last ``span`` ("15 minutes") before ``now``, as a range the scan can use."""
-    return rows.where(F.col(column) >= instant(now) - F.expr(f"interval {span}"))
+    """Rows after ``span`` ("15 minutes") before ``now``, that instant left out, as a range the scan can use."""
+    return rows.where(F.col(column) > instant(now) - F.expr(f"interval {span}"))
 
 
 def rows_from(rows: DataFrame, source: str, column: str = "source") -> DataFrame:

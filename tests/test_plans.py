@@ -96,3 +96,8 @@ def test_reprocess_includes_both_ends(spark):
     df = spark.createDataFrame([("2026-01-01 00:00:00",), ("2026-01-02 23:59:59",), ("2026-01-03 00:00:00",)], "t string").select(
         F.col("t").cast("timestamp").alias("ingested_at"))
     assert ingest.reprocess_range(df, "2026-01-01", "2026-01-02").count() == 2
+
+
+def test_recent_rows_leave_out_the_boundary(spark):
+    df = spark.sql("select timestamp'2026-01-01 11:45:00' as ingested_at union all select timestamp'2026-01-01 11:45:00.000001'")
+    assert ingest.recent_rows(df, "15 minutes", now="2026-01-01 12:00:00").count() == 1
