@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.catalog.behaviour_queries import TYPES
 from mercato.catalog.merge_queries import FIRST_LOAD, iso
 from mercato.catalog.registry import query
 from mercato.catalog.roles import SCHEMAS, Store, silver_events, with_roles
@@ -13,7 +14,7 @@ from mercato.operators import checks
 from mercato.operators.merge import merge_into
 from mercato.session import scratch_path
 from mercato.sources import messages
-from mercato.streaming import jobs
+from mercato.streaming import carts, jobs, outages
 
 
 def click_messages(events: DataFrame) -> DataFrame:
@@ -194,6 +195,45 @@ def stream_abandoned_carts(s: Store):
     return finished(s, "carts", carts, carts.schema)
 
 
+@query("stream_cart_timer", with_roles(f"""
+    WITH steps AS (SELECT * FROM s_events WHERE event_type IN ('add_to_cart', 'purchase')),
+      marked AS (SELECT *, CASE WHEN epoch_us(event_timestamp) - epoch_us(lag(event_timestamp) OVER w)
+        <= 1800000000 THEN 0 ELSE 1 END AS opens FROM steps WINDOW w AS
+        (PARTITION BY session_id ORDER BY event_timestamp, event_id)),
+      runs AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id) AS run
+        FROM marked)
+    SELECT session_id, count(*) FILTER (event_type = 'add_to_cart') AS cart_events,
+      max(event_timestamp) FILTER (event_type = 'add_to_cart') AS last_cart,
+      max(event_timestamp) + INTERVAL 30 MINUTE AS abandoned_at FROM runs GROUP BY session_id, run
+    HAVING last_cart IS NOT NULL AND abandoned_at <= (SELECT max(event_timestamp) - INTERVAL 10 MINUTE FROM steps)
+      AND coalesce(max(event_timestamp) FILTER (event_type = 'purchase') < last_cart, true)""", "s_events"))
+def stream_cart_timer(s: Store):
+    alarms = carts.cart_alarms(silver_events(event_stream(s)), 1800)
+    return finished(s, "alarms", alarms, alarms.schema)
+
+
+@query("stream_silent_windows", with_roles("""
+    WITH slots AS (SELECT CAST(floor(epoch_us(event_timestamp) / 300000000) AS BIGINT) AS slot, event_type FROM s_events),
+      spine AS (SELECT slot, event_type FROM (SELECT unnest(generate_series(min(slot), max(slot) + 12)) AS slot FROM slots),
+        (SELECT unnest(['page_view', 'product_view', 'add_to_cart', 'checkout_start', 'purchase']) AS event_type)),
+      counts AS (SELECT slot, event_type, count(*) AS n FROM slots GROUP BY 1, 2),
+      filled AS (SELECT s.slot, s.event_type, coalesce(n, 0) AS n FROM spine s LEFT JOIN counts c
+        ON s.slot = c.slot AND s.event_type = c.event_type),
+      rolled AS (SELECT *, sum(n) OVER (PARTITION BY event_type ORDER BY slot ROWS 2 PRECEDING) AS lately FROM filled)
+    SELECT make_timestamp(slot * 300000000) AS window_start, event_type, CAST(n AS BIGINT) AS event_count, lately = 0 AS outage
+    FROM rolled WHERE n = 0 AND (slot + 1) * 300 <= (SELECT (max(slot) + 12) * 300 - 600 FROM slots)""", "s_events"))
+def stream_silent_windows(s: Store):
+    """Heartbeats every five minutes from the first event to an hour of silence after the last."""
+    slot = F.floor(F.unix_micros(F.col("event_timestamp").cast("timestamp")) / 300_000_000)
+    first, last = s.events().agg(F.min(slot), F.max(slot)).first()
+    home = scratch_path(s.spark, "beats")
+    ticks = s.spark.range(first, last + 13) if first is not None else s.spark.range(0)
+    ticks.select(F.timestamp_seconds(F.col("id") * 300).alias("event_timestamp")).write.parquet(home)
+    beats = s.spark.readStream.schema("event_timestamp timestamp").parquet(home)
+    silent = outages.silent_windows(silver_events(event_stream(s)), beats, TYPES)
+    return finished(s, "silent", silent, silent.schema)
+
+
 @query("live_funnel", with_roles(f"""
     SELECT time_bucket(INTERVAL 1 HOUR, event_timestamp) AS window_start,
       count(*) FILTER (event_type = 'page_view') AS page_views,
