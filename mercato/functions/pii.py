@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 PATTERNS = {
     "EMAIL_ADDRESS": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,24}",
     "PHONE_NUMBER": r"(?:\+[0-9]{8,15}|(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})",
-    "CREDIT_CARD_NUMBER": r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
-    "IP_ADDRESS": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
+    "CREDIT_CARD_NUMBER": r"(?:[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})",
+    "IP_ADDRESS": r"(?:[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}|\b(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+                  r"|\b[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)",
 }
 # The same matches, found in linear time on long texts: a name is tried only where one
 # begins and gives nothing back. With a context word in front the plain form is used.
@@ -56,7 +57,7 @@ def luhn_valid(number: Column) -> Column:
 
 
 def ip_in_range(ip: Column) -> Column:
-    return F.forall(F.split(ip, r"\."), lambda octet: octet.cast("int") <= 255)
+    return F.contains(ip, F.lit(":")) | F.forall(F.split(ip, r"\."), lambda octet: octet.try_cast("int") <= 255)
 
 
 def likelihood(info_type: Column, value: Column, has_context: Column) -> Column:
@@ -105,8 +106,10 @@ def mask_card(value: Column) -> Column:
 
 
 def generalize_ip(value: Column) -> Column:
-    """192.168.1.45 -> 192.168.1.0/24"""
-    return F.concat(F.substring_index(value, ".", 3), F.lit(".0/24"))
+    """10.20.30.40 -> 10.20.30.0/24, 2001:db8:7:1::9 -> 2001:db8:7::/48"""
+    front = F.regexp_extract(value, "^(?:[0-9A-Fa-f]{1,4}:){0,2}[0-9A-Fa-f]{1,4}", 0)
+    return F.when(F.contains(value, F.lit(":")), F.concat(front, F.lit("::/48"))).otherwise(
+        F.concat(F.substring_index(value, ".", 3), F.lit(".0/24")))
 
 
 def generalize_year(value: Column) -> Column:

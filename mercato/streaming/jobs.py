@@ -16,7 +16,7 @@ from mercato.functions.instants import instant
 from mercato.lakehouse import Lakehouse, Table
 from mercato.operators.ingest import append_bronze
 from mercato.operators.merge import parse_bronze
-from mercato.operators.privacy import protect_payload
+from mercato.operators.privacy import protect_message, protect_payload
 from mercato.plans.gold import funnel
 from mercato.schemas import ENTITIES
 from mercato.sources.csv_files import PATH, csv_columns, relative_path, stream_entity_csv, to_bronze
@@ -47,13 +47,19 @@ def events_to_bronze(lake: Lakehouse, messages: DataFrame, checkpoint: str, erro
 
     ``dedupe`` (a time span) drops what is delivered again within it: valid
     messages by event id, bad ones by their text.
-    ``policy`` protects personal fields of the payload on the way.
+    ``policy`` protects personal fields of the payload on the way, at any depth. Bad messages then become tokens
+    of the whole text (``pii.detokenize`` opens them for a replay) or, without a key, are protected by pattern; their
+    ``error_detail``, which quotes them, is NULL.
     """
     good, bad = lake.bronze("events_raw"), lake.bronze("events_errors")
     good.state()
     checked = check_events(messages, now=now)
     if policy:
-        checked = checked.withColumn("raw_payload", protect_payload(F.col("raw_payload"), policy, key))
+        failed = F.col("error_type").isNotNull()
+        checked = checked.withColumns({
+            "raw_payload": F.when(~failed, protect_payload(F.col("raw_payload"), policy, key)),
+            "raw_message": F.when(failed, protect_message(F.col("raw_message"), policy, key)),
+            "error_detail": F.when(failed, F.lit(None).cast("string"))})
     if dedupe:
         same = F.when(F.col("error_type").isNull(), F.concat(F.lit("id:"), F.col("event_id"))).otherwise(
             F.sha2("raw_message", 256))

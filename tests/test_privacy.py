@@ -99,9 +99,9 @@ def test_policy_over_columns(spark):
 def test_policy_over_payload(spark):
     import json
 
-    doc = {"event_id": "e", "email": "maria@example.com", "n": 1.5, "deep": {"email": "x"}, "none": None, "ip": "10.0.0.9"}
+    doc = {"event_id": "e", "email": "maria@example.com", "n": 1.5, "deep": {"email": "x@y.example"}, "none": None, "ip": "10.0.0.9"}
     out = value(spark, privacy.protect_payload(F.lit(json.dumps(doc)), {"email": "mask_email", "ip": "subnet", "zip": "token"}, KEY))
-    assert json.loads(out) == doc | {"email": "m****@*******.com", "ip": "10.0.0.0/24"}
+    assert json.loads(out) == doc | {"email": "m****@*******.com", "ip": "10.0.0.0/24", "deep": {"email": "x@*.example"}}
 
 
 def test_long_names_are_masked_whole(spark):
@@ -109,3 +109,49 @@ def test_long_names_are_masked_whole(spark):
     df = spark.createDataFrame([(1, f"write to {name}@example.com or a.b@c.de!")], "id int, t string")
     assert privacy.protect_texts(df, "t", ["EMAIL_ADDRESS"]).first().t == f"write to n{'*' * 69}@*******.com or a**@*.de!"
     assert privacy.findings(df, "id", "t", types=["EMAIL_ADDRESS"]).count() == 2
+
+def opened(spark, doc, policy=privacy.DEFAULT_POLICY, key=KEY):
+    import json
+
+    text = doc if isinstance(doc, str) else json.dumps(doc)
+    return json.loads(value(spark, privacy.protect_payload(F.lit(text), policy, key)))
+
+
+def test_payload_fields_at_any_depth(spark):
+    doc = {"event_id": "e", "city": "Lima", "country": "PE", "address": "Main 1", "note": 'say "email": "x" \\ and \\" {',
+           "profile": {"Email": "ana.sol@shop.example", "deep": [{"phone": "+15550001112", "n": [1, {"ip_address": "2001:db8:7:1::9"}]}]},
+           "credit_card": 378282246310005, "phone": ["+15550001112", None, "no number"], "email": None, "first_name": 'A"n\\a',
+           "list": [{"address": {"street": "x", "city": "Quito", "country": "EC"}}, {"address": {"street": "y"}}]}
+    got = opened(spark, doc)
+    assert got["note"] == doc["note"] and (got["address"], got["event_id"]) == ("Lima, PE", "e")
+    assert got["credit_card"] == "***********0005" and got["phone"] == ["+**********2", None, "*********"]
+    assert [x["address"] for x in got["list"]] == ["Quito, EC", None] and got["email"] is None
+    assert got["profile"]["deep"] == [{"phone": "+**********2", "n": [1, {"ip_address": "2001:db8:7::/48"}]}]
+    hidden = F.lit(got["profile"]["Email"]), F.lit(got["first_name"])
+    assert [value(spark, pii.detokenize(h, {"k1": KEY})) for h in hidden] == ["ana.sol@shop.example", 'A"n\\a']
+    with pytest.raises(ValueError):
+        privacy.protect_payload(F.lit("{}"))
+
+
+def test_payload_that_cannot_be_read_is_withheld(spark):
+    assert opened(spark, {"event_id": "e", "event_type": "t", "email": {"of": {"x": "ana@shop.example"}}}) == {
+        "event_id": "e", "event_type": "t", "withheld": True}
+    assert opened(spark, {"event_id": "e", "a": {"email": [["ana@shop.example"]]}})["withheld"]
+    assert opened(spark, {"email": ["a@b.example"] * 300})["withheld"]
+    assert opened(spark, {"email": [], "phone": {}}) == {"email": [], "phone": {}}
+    assert opened(spark, {"email": "plain", "ip_address": "none", "phone": True, "credit_card": ""}, {
+        "email": "mask_email", "ip_address": "subnet", "phone": "mask_phone", "credit_card": "remove"}) == {
+        "email": "*****", "ip_address": None, "phone": "****", "credit_card": None}
+    long = {"event_id": "e", "email": "q\"\\" * 50_000, "text": "\\\" [{" * 50_000}
+    assert opened(spark, long, {"email": "mask_email"})["text"] == long["text"]
+    assert value(spark, privacy.protect_payload(F.lit(None).cast("string"), {"email": "remove"})) is None
+
+
+def test_failed_messages_are_not_kept_in_clear(spark):
+    bad = '{"email": "ana@shop.example", "first_name": "Ana", "x": "+15550001112 3782 822463 10005'
+    sealed = privacy.protect_message(F.lit(bad), key=KEY)
+    assert value(spark, pii.detokenize(sealed, {"k1": KEY})) == bad
+    plain = {"email": "mask_email", "first_name": "remove"}
+    assert value(spark, privacy.protect_message(F.lit(bad), plain)) == (
+        '{"email": "a**@****.example", "first_name": null, "x": "+**********2 **** ****** *0005')
+    assert value(spark, privacy.protect_message(F.lit("at fe80::1 or ana@shop.example"), plain)) == "at fe80::/48 or a**@****.example"
