@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.catalog.behaviour_queries import TYPES
+from mercato.catalog.control_queries import TOKEN_KEY
 from mercato.catalog.merge_queries import FIRST_LOAD, iso
 from mercato.catalog.registry import query
 from mercato.catalog.roles import SCHEMAS, Store, silver_events, with_roles
+from mercato.functions import pii
 from mercato.lakehouse import Lakehouse, Table
 from mercato.operators import checks
 from mercato.operators.merge import merge_into
+from mercato.operators.privacy import DEFAULT_POLICY
 from mercato.session import scratch_path
 from mercato.sources import messages
 from mercato.streaming import carts, jobs, outages
@@ -138,6 +141,49 @@ def stream_events_to_bronze(s: Store):
     return stored.unionByName(failed).groupBy("outcome").agg(F.count("*").alias("messages"))
 
 
+def account_messages(customers: DataFrame) -> DataFrame:
+    """Sign-ups with personal data two levels down; every tenth message is cut off."""
+    number = F.split_part("c_name", F.lit("#"), F.lit(2))
+    text = F.concat(
+        F.lit('{"event_id":"c-'), F.col("c_custkey"), F.lit('","event_type":"signup","city":"'), F.col("c_mktsegment"),
+        F.lit('","country":"'), F.col("c_nationkey"), F.lit('","address":"Road '), number, F.lit('","profile":{"first_name":"'),
+        F.col("c_name"), F.lit('","contacts":[{"Email":"buyer.'), number, F.lit('@example.com","phone":"+1'), number,
+        F.lit('"},{"ip_address":"10.9.8.7","credit_card":"3782822'), number, F.lit('"}]}}'))
+    whole = F.length(text)
+    return customers.select(F.when(F.col("c_custkey") % 10 == 0, F.left(text, whole - 1)).otherwise(text).alias("value"))
+
+
+@query("stream_deidentify", """
+    WITH c AS (SELECT *, split_part(c_name, '#', 2) AS number FROM customer)
+    SELECT 'c-' || c_custkey AS event_id, 'signup' AS event_type, c_mktsegment || ', ' || c_nationkey AS address,
+      c_name AS first_name, 'buyer.' || number || '@example.com' AS email, '+*' || repeat('*', length(number) - 1) || right(number, 1) AS phone,
+      '10.9.8.0/24' AS ip_address, repeat('*', 3 + length(number)) || right(number, 4) AS credit_card, false AS in_clear
+    FROM c WHERE c_custkey % 10 <> 0
+    UNION ALL SELECT 'c-' || c_custkey, NULL, NULL, c_name, 'buyer.' || number || '@example.com', NULL, NULL, NULL, false
+    FROM c WHERE c_custkey % 10 = 0""")
+def stream_deidentify(s: Store):
+    """Every technique of the default policy on nested fields, tokens opened again; bad messages are sealed whole."""
+    lake = Lakehouse(s.spark, scratch_path(s.spark, "hidden")).create()
+    sent = s.spark.readStream.schema(SCHEMAS["customer"]).parquet(f"{s.sf_dir}/{{customer}}.parquet")
+    jobs.events_to_bronze(lake, account_messages(sent), f"{lake.root}/checkpoint", policy=DEFAULT_POLICY, key=TOKEN_KEY,
+                          now=FIRST_LOAD).awaitTermination()
+    clear = F.col("text").rlike("buyer|Customer#|Road ") | (F.size(pii.find(F.col("text"), "EMAIL_ADDRESS")) > 0)
+    opened = lambda token: pii.detokenize(token, {"k1": TOKEN_KEY})
+    at = lambda path: F.get_json_object("text", path)
+    good = lake.bronze("events_raw").read().withColumnRenamed("raw_payload", "text").select(
+        "event_id", "event_type", at("$.address").alias("address"), opened(at("$.profile.first_name")).alias("first_name"),
+        opened(at("$.profile.contacts[0].Email")).alias("email"), at("$.profile.contacts[0].phone").alias("phone"),
+        at("$.profile.contacts[1].ip_address").alias("ip_address"), at("$.profile.contacts[1].credit_card").alias("credit_card"),
+        clear.alias("in_clear"))
+    part = lambda pattern: F.regexp_extract(opened(F.col("text")), pattern, 1)
+    none = F.lit(None).cast("string")
+    bad = lake.bronze("events_errors").read().withColumnRenamed("raw_message", "text").select(
+        part('"event_id":"([^"]*)"').alias("event_id"), none.alias("event_type"), none.alias("address"),
+        part('"first_name":"([^"]*)"').alias("first_name"), part('"Email":"([^"]*)"').alias("email"), none.alias("phone"),
+        none.alias("ip_address"), none.alias("credit_card"), clear.alias("in_clear"))
+    return good.unionByName(bad)
+
+
 @query("stream_csv_to_bronze", with_roles("""
     SELECT CAST(review_id AS VARCHAR) AS review_id, CAST(product_id AS VARCHAR) AS product_id, rating
     FROM s_reviews""", "s_reviews"))
