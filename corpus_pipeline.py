@@ -2,11 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of docs. The first four return the columns of docs. Null and
 empty texts, ties and repeated rows are handled as each operator states. A row without an id can be dropped by the first
-stage only, since the later ones name documents by id; rows of one id are dropped together by the third.
+stage only, since the later ones name documents by id, or by id and text where rows of one id differ in text.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,25 +28,48 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
+def with_keys(docs: DataFrame, key: str) -> DataFrame:
+    """docs with a column `key` that tells documents apart: the id, or where rows of one id differ in text a hash of both.
+
+    Such hashes lie above 2^62, so documents with an id of their own come first. Equal rows share a key, a null id has none.
+    Which ids clash is found from one hash a row, added up before the shuffle.
+    """
+    text = F.xxhash64("text", F.col("text").isNull())
+    clash = docs.filter("doc_id is not null").groupBy(F.col("doc_id").alias(f"{key}_of")).agg(
+        (F.min(text) != F.max(text)).alias("clash")).filter("clash").drop("clash")
+    clash = saved(clash, "clash")
+    own = F.col("doc_id").cast("long")
+    if clash.isEmpty():
+        return docs.withColumn(key, own)
+    hashed = F.xxhash64("doc_id", "text", F.col("text").isNull()).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    marked = docs.join(clash, F.col("doc_id") == F.col(f"{key}_of"), "left")
+    return marked.withColumn(key, F.when(F.col(f"{key}_of").isNull(), own).otherwise(hashed)).drop(f"{key}_of")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id stays, once.
 
-    Rows without an id stay; texts without a word are in no group, of their repeated rows one stays as well.
+    Rows without an id stay; texts without a word are in no group, of their repeated rows one stays as well. Rows of one id
+    with different texts are different documents, which come after all others; among them the least hash stays.
     """
-    judged = near_duplicates(docs)
-    gone = saved(judged.filter("not kept").select("doc_id").distinct(), "gone")
-    repeated = saved(judged.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"), "repeated")
-    kept = docs.join(gone, "doc_id", "left_anti")
+    key = f"key_{uuid.uuid4().hex}"
+    keyed = with_keys(docs, key)
+    judged = saved(near_duplicates(keyed, id_col=key), "judged")
+    gone = judged.filter("not kept").select(F.col("doc_id").alias(key)).distinct()
+    repeated = saved(judged.groupBy(F.col("doc_id").alias(key)).count().filter(f"{key} is not null and count > 1").select(key), "repeated")
+    kept = keyed.join(gone, key, "left_anti")
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+        return kept.select(docs.columns)
+    once = kept.join(repeated, key, "left_semi").dropDuplicates([key])
+    return kept.join(repeated, key, "left_anti").unionByName(once).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(saved(leaks.select("doc_id").distinct(), "leaks"), "doc_id", "left_anti")
+    """Documents that hold a benchmark item go; rows of one id with different texts are judged each."""
+    key = f"key_{uuid.uuid4().hex}"
+    keyed = with_keys(docs, key)
+    leaks = contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col=key)
+    return keyed.join(saved(leaks.select(F.col("doc_id").alias(key)).distinct(), "leaks"), key, "left_anti").select(docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
