@@ -44,3 +44,20 @@ def test_stages_keep_columns_and_survive_awkward_rows(spark, awkward, nothing, s
                 assert len(rows) == docs.count()
             if docs is nothing:
                 assert not rows
+
+
+def test_rows_of_one_id_with_different_texts_are_different_documents(spark, tmp_path):
+    a, b, q, e = (" ".join(f"{name}{i}" for i in range(40)) for name in ("alpha", "beta", "quill", "east"))
+    leak = "the rare test question that nobody should ever have trained on"
+    given = [(1, a), (2, a), (2, b), (5, q), (5, e), (5, e), (3, q + " more"), (7, None), (7, ""), (8, f"{leak} {b.upper()[:60]}"), (8, f"so {leak} and so on")]
+    docs = spark.createDataFrame([(i, t, "en", "web", 1, "x") for i, t in given],
+                                 "doc_id long, text string, lang string, source string, n_chars long, key string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    # 5 = q is a copy of 3, which has its id to itself.
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect() if r["doc_id"] < 6) == sorted(
+        [(1, a), (2, b), (5, e), (3, q + " more")])
+    assert kept.columns == docs.columns and sum(r["doc_id"] == 7 for r in kept.collect()) == 2
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    mixed = docs.replace({f"so {leak} and so on": "clean after all"}, subset=["text"])
+    clean = corpus_pipeline.without_benchmark(spark, mixed, str(tmp_path))
+    assert sorted(map(repr, clean.collect())) == sorted(repr(r) for r in mixed.collect() if leak not in (r["text"] or ""))
