@@ -1,7 +1,7 @@
 """Secret scans: candidate strings, and a random forest that tells secrets from numbers, hashes, hosts and paths.
 
-DataFrame functions only. Candidates are values assigned to a credential word, and runs of token characters that hold a
-digit. Each carries its surroundings; its features are its length, its characters and their transitions, how much of it
+DataFrame functions only. Candidates are values assigned to a credential word or sent in an authorization header, keys of a
+published form, and runs of token characters that hold a digit. Each carries its surroundings; its features are its length, its characters and their transitions, how much of it
 common words cover, what it has of a path, and the words beside it. The forest is trained from labelled findings, a bounded
 sample of them, and is left with those candidates that look like secrets.
 """
@@ -21,9 +21,22 @@ from mercato.llm.store import saved
 
 SHORTEST, SHORTEST_ASSIGNED = 16, 8
 CREDENTIAL = r"(?:passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential)s?"
-ASSIGN = rf"(?i:{CREDENTIAL})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?"
+HEADER = r"(?i:authorization[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?:bearer|basic|token)\s{1,3})"
+ASSIGN = rf"(?:{HEADER}|(?i:{CREDENTIAL})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)"
 RUN = r"A-Za-z0-9+/_.=\-"
+# Published forms of access keys, which name themselves.
+KNOWN = "|".join([
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}",
+    r"gh[oprsu]_[0-9A-Za-z]{36}",
+    r"github_pat_[0-9A-Za-z_]{82}",
+    r"glpat-[0-9A-Za-z_\-]{20}",
+    r"xox[abeoprs]-[0-9A-Za-z\-]{10,200}",
+    r"[rs]k_(?:live|test)_[0-9A-Za-z]{24,99}",
+    r"AIza[0-9A-Za-z_\-]{35}",
+    r"eyJ[0-9A-Za-z_\-]{10,}+\.eyJ[0-9A-Za-z_\-]{10,}+\.[0-9A-Za-z_\-]{10,}+",
+])
 CANDIDATE = (rf"{ASSIGN}[^\s\"'<>]{{{SHORTEST_ASSIGNED},}}"
+             rf"|(?<![{RUN}])(?:{KNOWN})(?![0-9A-Za-z])"
              rf"|(?<![{RUN}])(?=[A-Za-z+/_.=\-]*+[0-9])[{RUN}]{{{SHORTEST},}}")
 BEFORE, AFTER = 40, 20
 MOST_LABELLED = 20_000
@@ -76,7 +89,7 @@ def features() -> dict[str, Column]:
              "letter_to_digit": "[A-Za-z](?=[0-9])", "digit_to_letter": "[0-9](?=[A-Za-z])", "case_changes": "[a-z](?=[A-Z])|[A-Z](?=[a-z])",
              "vowel_pairs": "(?i)[bcdfghjklmnpqrstvwxyz](?=[aeiou])", "consonant_runs": "(?i)[bcdfghjklmnpqrstvwxyz]{4,}",
              "same_pairs": r"(.)(?=\1)"}
-    near = {"credential_before": rf"(?i){CREDENTIAL}[^A-Za-z]{{0,8}}$", "assigned": r"[:=]\s{0,3}[\"']?$", "quoted": r"[\"']$",
+    near = {"credential_before": rf"(?i:{CREDENTIAL}[^A-Za-z]{{0,8}}$)|{HEADER}$", "assigned": r"[:=]\s{0,3}[\"']?$", "quoted": r"[\"']$",
             "hash_before": r"(?i)(sha\d*|md5|commit|checksum|digest|hash|uuid|rev)[^A-Za-z]{0,8}$",
             "place_before": r"(?i)(https?:/{0,2}|www\.|@|/)\S{0,30}$",
             "number_before": r"(?i)(phone|tel|card|iban|isbn|order|invoice|id|no)\W{0,4}$"}
@@ -104,7 +117,12 @@ def likely_labels(found: DataFrame) -> DataFrame:
     secret = (F.col("f_credential_before") == 1) & varied & (F.col("f_placeholder") == 0) & (F.col("f_path") == 0)
     harmless = reduce(lambda a, b: a | b, [F.col(f"f_{n}") == 1 for n in (
         "only_digits", "extension", "path", "place_before", "hash_before", "uuid", "placeholder")]) | (F.col("f_dictionary") > 0.5)
-    return found.withColumn("label", F.when(secret, 1).when(harmless & (F.col("f_credential_before") == 0), 0))
+    return found.withColumn("label", F.when(secret, 1).when(harmless & (F.col("f_credential_before") == 0) & ~names_itself(), 0))
+
+
+def names_itself() -> Column:
+    """The value is an access key by its published form, and no placeholder."""
+    return F.col("value").rlike(f"^(?:{KNOWN})$") & (F.col("f_placeholder") == 0)
 
 
 def forest_scores(found: DataFrame, labelled: DataFrame, most_labelled: int = MOST_LABELLED) -> DataFrame:
@@ -136,14 +154,15 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
          most_labelled: int = MOST_LABELLED) -> DataFrame:
     """doc_id, start, stop, value, before, after, score, secret: all candidates of docs with the forest's verdict.
 
-    labelled: reviewed findings (doc_id, start, value, before, after, label); without them likely_labels of the
-    candidates themselves. Null, empty and blank texts have no candidates; a null id stays null; repeated rows are
+    labelled: reviewed findings (doc_id, start, value, before, after, label), by which alone the forest then decides; without
+    them likely_labels of the candidates themselves, and keys of a published form are secrets at any score. Null, empty and blank texts have no candidates; a null id stays null; repeated rows are
     scanned each; other columns are ignored.
     """
     found = saved(with_features(candidates(docs, id_col, text_col)), "findings")
     known = likely_labels(found).filter("label is not null") if labelled is None else with_features(labelled)
+    sure = names_itself() if labelled is None else F.lit(False)
     return forest_scores(found, known, most_labelled).select(
-        "doc_id", "start", "stop", "value", "before", "after", "score", (F.col("score") >= LEAST_SCORE).alias("secret"))
+        "doc_id", "start", "stop", "value", "before", "after", "score", ((F.col("score") >= LEAST_SCORE) | sure).alias("secret"))
 
 
 def redacted(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
