@@ -80,6 +80,30 @@ def test_one_hot_session_is_folded_before_the_shuffle(spark):
     assert len(next(carts._folded(1)(iter([frame.iloc[:0]])))) == 0
 
 
+def test_sessions_share_states_and_stay_apart(spark, tmp_path):
+    schema = EVENTS.replace("session_id string", "session_id long")
+    live = Live(spark, str(tmp_path), lambda df: carts.cart_alarms(df, 1800), schema)
+    n = 3 * carts.BUCKETS
+    live.feed(*[(str(i), "add_to_cart", i, at(i % 7)) for i in range(n)])
+    live.feed(*[(str(i), "purchase", i, at(8)) for i in range(0, n, 2)])
+    spark.createDataFrame([("clock", "purchase", n, at(500))], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    last = jobs.to_table(live.frame(), live.table, f"{tmp_path}/cp")
+    assert last.awaitTermination(120)
+    assert max(p.stateOperators[0].numRowsTotal for p in last.recentProgress) <= carts.BUCKETS
+    got = live.table.read()
+    assert dict(got.dtypes)["session_id"] == "bigint"
+    assert sorted(rows(got, "session_id", "cart_events")) == [(i, 1) for i in range(n) if i % 2]
+
+
+def test_runs_reach_over_the_latest_end_so_far():
+    import numpy as np
+
+    runs = np.array([[0, 0, 100, 100, carts.NEVER, 2], [0, 10, 20, 20, carts.NEVER, 1], [0, 105, 105, carts.NEVER, 105, 0],
+                     [0, 120, 120, 120, carts.NEVER, 1], [1, 121, 121, 121, carts.NEVER, 1]], np.int64)
+    assert carts.joined_runs(runs, 10).tolist() == [
+        [0, 0, 105, 100, 105, 3], [0, 120, 120, 120, carts.NEVER, 1], [1, 121, 121, 121, carts.NEVER, 1]]
+
+
 def test_wall_clock_needs_no_further_event(spark, tmp_path):
     with pytest.raises(ValueError):
         carts.cart_alarms(spark.createDataFrame([], EVENTS), 60, clock="moon")
