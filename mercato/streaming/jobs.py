@@ -40,6 +40,15 @@ def to_table(stream: DataFrame, table: Table, checkpoint: str, mode: str = "appe
     return start(stream, lambda df, n: table.append(df, (checkpoint, n)) and None, checkpoint, mode, every)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt out evenly over the session's shuffle partitions, or its cores if those are more.
+
+    For work of a millisecond's order a row: a file of a few MB is one task otherwise, however many rows it has.
+    """
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def events_to_bronze(lake: Lakehouse, messages: DataFrame, checkpoint: str, errors: bool = True,
                      dedupe: str | None = None, policy: Mapping[str, str] | None = None, key: str | None = None,
                      now=None, every: str | None = None) -> StreamingQuery:
@@ -53,7 +62,7 @@ def events_to_bronze(lake: Lakehouse, messages: DataFrame, checkpoint: str, erro
     """
     good, bad = lake.bronze("events_raw"), lake.bronze("events_errors")
     good.state()
-    checked = check_events(messages, now=now)
+    checked = check_events(spread(messages) if policy else messages, now=now)
     if policy:
         failed = F.col("error_type").isNotNull()
         checked = checked.withColumns({

@@ -80,6 +80,23 @@ def test_payload_is_protected_on_the_way(spark, lake, tmp_path):
     assert doc["email"] == "m****@*******.com" and doc["event_id"] == "click-0" and doc["product_id"] is None
 
 
+def test_protection_of_one_file_is_dealt_over_tasks(spark, lake, tmp_path, monkeypatch):
+    tasks, start = [], jobs.start
+
+    def watched(stream, write, *args, **how):
+        def count(batch, number):
+            tasks.append(batch.select(F.spark_partition_id()).distinct().count())
+            write(batch, number)
+
+        return start(stream, count, *args, **how)
+
+    monkeypatch.setattr(jobs, "start", watched)
+    send(tmp_path / "in", "a.json", [click(n, "page_view", "2025-09-03T08:15:02Z", email=f"m{n}@example.com") for n in range(400)])
+    run(jobs.events_to_bronze(lake, messages.read_event_stream(spark, str(tmp_path / "in")), str(tmp_path / "cp"),
+                              policy={"email": "mask_email"}))
+    assert lake.bronze("events_raw").read().count() == 400 and tasks[0] > 1
+
+
 def test_new_files_are_loaded_once_and_merged(spark, lake, tmp_path):
     header = ",".join(csv_files.csv_columns(ENTITIES["reviews"]))
     box = tmp_path / "landing" / "reviews"
