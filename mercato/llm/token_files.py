@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -143,8 +144,8 @@ def tokenised(docs: DataFrame, tokens, end_id: int, id_col: str = "doc_id", text
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own, packer = np.array([end_id], np.uint32), tokens.here(), Packer()
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            packed = [packer.pack(np.concatenate([ids, last])) for ids in own.encode(texts)]
+            texts = pc.fill_null(batch.column(1), "").cast(pa.large_string())
+            packed = [packer.pack(np.concatenate([ids, last])) for ids in own.encode_column(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(

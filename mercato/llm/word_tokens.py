@@ -2,7 +2,7 @@
 
 For a tokenizer that drops white space and never looks across it, the ids of a text are the ids of its blank-separated
 words one after the other. A task keeps the ids of the words it has met (about KEPT of them) and asks the library only for
-new ones, many in one call.
+new ones, many in one call. Each some hundred texts are split and reduced to their distinct words by Arrow first.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ import os
 from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from mercato.llm.kept import kept
 
 KEPT = 1_000_000
-AT_ONCE = 512
+AT_ONCE = 2000
 TAIL = b".,;:!?"
 
 
@@ -36,8 +38,8 @@ def _letters(core: bytes) -> bool:
 class Slots(dict):
     """Word to its place in a list; a new word gets the next place."""
 
-    def __init__(self):
-        super().__init__()
+    def __init__(self, known: dict[bytes, int]):
+        super().__init__(known)
         self.new: list[bytes] = []
 
     def __missing__(self, word: bytes) -> int:
@@ -52,7 +54,7 @@ class WordTokens:
         self._forget()
 
     def _forget(self) -> None:
-        self.slots, self.ids = Slots(), []
+        self.slots, self.ids = Slots({b"": 0}), [b""]  # split texts begin or end with an empty word
 
     def __getstate__(self):
         return {"tokenizer": self.tokenizer, "end_of_word": self.end_of_word}
@@ -115,13 +117,19 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
-        return [ids for at in range(0, len(texts), AT_ONCE) for ids in self._some(texts[at:at + AT_ONCE])]
+        return self.encode_column(pa.array([text.encode("utf-8", "replace") for text in texts], pa.large_binary()).view(pa.large_string()))
 
-    def _some(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        """uint32 ids of each text of an Arrow array of strings."""
+        return [ids for at in range(0, len(texts), AT_ONCE) for ids in self._some(texts.slice(at, AT_ONCE))]
+
+    def _some(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.slots) > KEPT:
             self._forget()
         place = self.slots.__getitem__
-        places = [list(map(place, text.encode("utf-8", "replace").split())) for text in texts]
+        split = pc.ascii_split_whitespace(texts)
+        each = split.flatten().dictionary_encode()
+        places = list(map(place, each.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False)))
         # New words, then the parts of them that are new as words themselves; only whole ones go to the library.
         pieces, at = [], 0
         while at < len(self.slots.new):
@@ -136,5 +144,11 @@ class WordTokens:
             if self.ids[i] is None:
                 self.ids[i] = b"".join([self.ids[place(p)] for p in own])
         self.slots.new = []
-        take = self.ids.__getitem__
-        return [np.frombuffer(b"".join(map(take, own)), np.uint32) for own in places]
+        # The ids of the distinct words one after the other, then those of every word picked from there.
+        own = list(map(self.ids.__getitem__, places))
+        flat, sizes = np.frombuffer(b"".join(own), np.uint32), np.fromiter(map(len, own), np.int64, len(own)) // 4
+        word = each.indices.to_numpy()
+        starts, lengths = (np.cumsum(sizes) - sizes)[word], sizes[word]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        out = flat[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])]
+        return np.split(out, ends[split.offsets.to_numpy()[1:-1]])

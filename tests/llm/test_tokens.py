@@ -39,6 +39,17 @@ def test_pack_and_unpack():
         assert len(control) == -(-len(ids) // 4) and np.array_equal(unpack(control, data, len(ids)), ids)
 
 
+def test_columns_of_texts_are_split_by_distinct_words(word_tokens):
+    import pyarrow as pa
+
+    texts = ["", " ", " the end ", "the\x0bthe\x0c\tthe\n", "end\x1cend\x85 the\xa0end", *fuzz(300), "the end"]
+    library = Tokenizer.from_file(tokenizer_path(WORD_FILE))
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [i.tolist() for i in word_tokens.encode_column(pa.array(texts, pa.large_string()))] == want
+    assert [i.tolist() for i in word_tokens.encode_column(pa.array(texts, pa.large_string()).slice(2, 9))] == want[2:11]
+    assert word_tokens.encode_column(pa.array([], pa.large_string())) == []
+
+
 def test_word_tokens_equal_the_library(word_tokens):
     texts, library = fuzz(3000), Tokenizer.from_file(tokenizer_path(WORD_FILE))
     assert [i.tolist() for i in word_tokens.encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
