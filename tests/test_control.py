@@ -87,3 +87,13 @@ def test_alerts(spark):
     assert rows(checks.error_summary(df)) == [("a", 2), ("b", 1)]
     assert rows(checks.error_alerts(df), "errors") == [(1,), (2,)]
     assert rows(checks.error_alerts(df, above=1), "errors") == [(2,)]
+
+
+def test_tasks_of_a_shuffle_grow_in_number_with_its_bytes(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        keys = spark.range(0, 400_000, 1, 8).groupBy(F.sha2(F.col("id").cast("string"), 256).alias("key")).agg(F.count("*").alias("n"))
+        assert keys.select(F.spark_partition_id()).distinct().count() > 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
