@@ -388,10 +388,11 @@ def medallion_products(s: Store):
     lake = Lakehouse(s.spark, scratch_path(s.spark, "lake")).create()
     c = F.col
     lake.bronze("products_raw").append(raw("products", s.table("part"), FIRST_LOAD, *named(
-        id=c("p_partkey"), name=c("p_name"), category=c("p_type"), price=c("p_retailprice"))))
-    lake.bronze("order_items_raw").append(_item_rows(s.table("lineitem")))
+        id=c("p_partkey"), name=c("p_name"), category=c("p_type"), price=c("p_retailprice"))), one_day=True)
+    lake.bronze("order_items_raw").append(_item_rows(s.table("lineitem")), one_day=True)
     lake.bronze("reviews_raw").append(raw("reviews", s.reviews(), FIRST_LOAD, *named(
-        review_id=c("review_id"), product_id=c("product_id"), rating=c("rating"), created_at=iso(c("created_at")))))
+        review_id=c("review_id"), product_id=c("product_id"), rating=c("rating"), created_at=iso(c("created_at")))),
+        one_day=True)
     medallion.bronze_to_silver(lake, ["products", "order_items", "reviews"], now=SECOND_LOAD)
     return gold.view(lake, "product_metrics")
 

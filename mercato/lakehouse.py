@@ -138,12 +138,17 @@ class Table:
             stored.add(self.partition, T.DateType())
         paths = [self._part_path(write, part) for part, writes in parts.items() for write in writes]
         if not paths:
-            df = self.spark.createDataFrame([], stored)
+            df = self._no_rows(stored)
         else:
             stored.add("w", T.StringType())
             df = self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths).drop("w")
         return df if keep_partition or not self.partition else df.drop(self.partition)
 
+    def _no_rows(self, schema: T.StructType) -> DataFrame:
+        """Known to be empty when the plan is made, so a merge into a new table plans no join."""
+        return self.spark.range(1).where(F.lit(False)).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
     def _part_path(self, write_id: str, part: str) -> str:
         tail = f"/{self.partition}={part}" if self.partition else ""
         return f"{self.path}/w={write_id}{tail}"
@@ -153,7 +158,7 @@ class Table:
 
     # ---- writes
 
-    def _write(self, df: DataFrame) -> tuple[str, list[str]]:
+    def _write(self, df: DataFrame, one_day: bool = False) -> tuple[str, list[str]]:
         """Write a folder of its own; returns its id and the partition values it holds."""
         write_id = uuid.uuid4().hex
         where = f"{self.path}/w={write_id}"
@@ -161,7 +166,7 @@ class Table:
         if self.partition:
             columns.append(F.to_date(F.col(self.partition_of)).alias(self.partition))
         out = df.select(*columns)
-        if self.cluster or self.partition:
+        if (self.cluster or self.partition) and not one_day:
             # Rebalance, not repartition: AQE splits a day or value that holds most rows over many tasks.
             out = out.hint("rebalance", *([self.partition] if self.partition else self.cluster))
         if self.cluster:
@@ -196,16 +201,21 @@ class Table:
                 return True
         raise RuntimeError(f"could not commit to {self.path}")
 
-    def append(self, df: DataFrame, txn: tuple[str, int] | None = None, seen: dict | None = None) -> str | None:
+    def append(self, df: DataFrame, txn: tuple[str, int] | None = None, seen: dict | None = None,
+               one_day: bool = False) -> str | None:
         """Add rows and return the id of the write.
 
+        ``one_day`` says that a large load has one partition value only: each task writes what it has
+        made. A shuffle by day would send all rows to one part, which is cut up again by the tasks that
+        filled it, so it moves the whole load and evens out nothing. Rows of other days get in as well.
+
         ``txn`` = (writer, batch number) makes a repeated batch a no-op, with None returned.
         ``seen`` is the ``parts`` the rows were computed from: if the table has changed
         since, in whichever partition, the write fails.
         """
         if self._done(self.state(), txn):
             return None
-        write_id, held = self._write(df)
+        write_id, held = self._write(df, one_day) if one_day else self._write(df)
 
         def add(parts: dict) -> None:
             self._unchanged(parts, seen)
@@ -221,7 +231,7 @@ class Table:
     def read_write(self, *write_ids: str) -> DataFrame:
         """Only the rows the named writes brought."""
         if not write_ids:
-            return self.spark.createDataFrame([], self.schema)
+            return self._no_rows(self.schema)
         stored = T.StructType(list(self.schema)).add("w", T.StringType())
         if self.partition:
             stored.add(self.partition, T.DateType())

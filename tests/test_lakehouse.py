@@ -62,6 +62,30 @@ def test_compaction_keeps_rows_and_cuts_files(spark, tmp_path):
     assert t.compact("2026-01-01") == []
 
 
+def test_a_load_of_one_day_is_written_by_the_tasks_that_made_it(spark, lake):
+    t = lake.bronze("orders_raw")
+    made = spark.range(0, 400, 1, 4).select(
+        F.col("id").cast("string").alias("record_id"), F.spark_partition_id().cast("string").alias("raw_data"),
+        F.lit("s").alias("source"), F.lit("2026-01-01 05:00:00").cast("timestamp").alias("ingested_at"))
+    t.append(made, one_day=True)
+    files = t.read().groupBy(F.input_file_name()).agg(F.count_distinct("raw_data").alias("tasks"), F.count("*").alias("n"))
+    assert rows(files.select("tasks", "n"), "tasks", "n") == [(1, 100)] * 4
+    t.append(made.withColumn("ingested_at", F.expr("ingested_at + make_interval(0, 0, 0, int(record_id) % 2)")), one_day=True)
+    assert t.days() == ["2026-01-01", "2026-01-02"]
+    assert t.read("2026-01-02", "2026-01-02").count() == 200 and t.read().count() == 800
+
+
+def test_a_merge_into_a_new_table_plans_no_join(spark, lake, capsys):
+    arriving = spark.range(3).select(F.col("id").cast("string").alias("product_id"))
+    for table in (lake.silver("products").read(), lake.bronze("products_raw").read_write()):
+        key = table.columns[0]
+        left = arriving.join(table.select(F.col(key).alias("product_id")), "product_id", "left_anti")
+        capsys.readouterr()
+        left.explain()
+        assert "Join" not in capsys.readouterr().out
+        assert rows(left, "product_id") == [("0",), ("1",), ("2",)]
+
+
 def test_latest_commit_is_found_past_a_stale_hint(spark, tmp_path):
     t = make(spark, tmp_path / "t", partition=False).create()
     t.append(data(spark, (1, None)))

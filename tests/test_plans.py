@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from mercato.catalog.roles import Store
+from mercato.catalog.roles import SCHEMAS, Store
+from mercato.lakehouse import Table
 from mercato.operators import ingest, merge
 from mercato.plans import gold
 from mercato.schemas import ENTITIES
@@ -101,3 +102,33 @@ def test_reprocess_includes_both_ends(spark):
 def test_recent_rows_leave_out_the_boundary(spark):
     df = spark.sql("select timestamp'2026-01-01 11:45:00' as ingested_at union all select timestamp'2026-01-01 11:45:00.000001'")
     assert ingest.recent_rows(df, "15 minutes", now="2026-01-01 12:00:00").count() == 1
+
+
+def test_medallion_products_loads_bronze_without_a_shuffle(spark, tmp_path, monkeypatch):
+    own = {
+        "part": [(1, "one", "B", "T", 1, 9.5), (2, None, None, "T", None, None)],
+        "lineitem": [(7, 1, 3, 1, 2.0, 10.0, 0.1, 0.0, "N", "O", None), (7, 1, 4, 1, 3.0, 11.0, 0.1, 0.0, "N", "O", None),
+                     (8, 1, 3, 1, 1.0, 5.25, 0.0, 0.0, "N", "O", None), (None, 2, 3, 1, 1.0, None, 0.0, 0.0, "N", "O", None)],
+        "events": [(4, None, 1, "view", 0.0, None), (5, None, 1, "view", 0.0, None), (5, None, 1, "view", 0.0, None)],
+    }
+    for name, some in own.items():
+        spark.createDataFrame(some, SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    frame, write, hints, shuffled = type(spark.range(1)), Table._write, [], {}
+    hint = frame.hint
+
+    def watched(self, df, *how):
+        hints.clear()
+        done = write(self, df, *how)
+        shuffled["/".join(self.path.rsplit("/", 2)[1:])] = bool(hints)
+        return done
+
+    monkeypatch.setattr(frame, "hint", lambda self, *how: hints.append(how) or hint(self, *how))
+    # One after the other, so that a hint belongs to the write that watches.
+    monkeypatch.setattr("mercato.plans.medallion.bronze_to_silver", lambda lake, names, **how: [
+        merge.merge_into(lake, n, **how) for n in ("products", "order_items", "reviews")])
+    monkeypatch.setattr(Table, "_write", watched)
+    found = entry.queries()["medallion_products"](spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == [
+        ("1", "one", "T", 32.5, 8, 2, 3.0, 2), ("2", None, "T", 0.0, 1, 0, None, 0)]
+    assert shuffled == {"bronze/products_raw": False, "bronze/order_items_raw": False, "bronze/reviews_raw": False,
+                        "silver/products": True, "silver/order_items": True, "silver/reviews": True}
